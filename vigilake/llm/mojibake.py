@@ -282,7 +282,7 @@ def _is_utf8(run: str) -> bool:
     return False
 
 
-def counts(signals: DataFrame) -> DataFrame:
+def counts(signals: DataFrame, key: str = "row_id") -> DataFrame:
     """``(c, l, r, n)``: how often each non-ASCII character occurs between the context classes, over all rows.
 
     Runs that are UTF-8 read wrongly are left out, so that the clean model isn't taught by what it should find.
@@ -305,7 +305,7 @@ def counts(signals: DataFrame) -> DataFrame:
                 out[c, kinds[i], kinds[i + 2]] += k
         yield pd.DataFrame([(*key, k) for key, k in out.items()], columns=["c", "l", "r", "n"])
 
-    values = _values(signals).where(F.col("v").rlike(r"[^\x00-\x7f]|&#?\w+;")).select("v")
+    values = _values(signals, key).where(F.col("v").rlike(r"[^\x00-\x7f]|&#?\w+;")).select("v")
     return values.mapInPandas(count, "c string, l string, r string, n long").groupBy("c", "l", "r").agg(F.sum("n").alias("n"))
 
 
@@ -314,9 +314,9 @@ def _values(signals: DataFrame, key: str = "row_id") -> DataFrame:
     return signals.select(key, *FIELDS).select(key, F.explode(pair).alias("x")).select(key, "x.field", "x.v").where(F.col("v").isNotNull())
 
 
-def model(signals: DataFrame) -> dict[tuple[str, str, str], int]:
+def model(signals: DataFrame, key: str = "row_id") -> dict[tuple[str, str, str], int]:
     """The counts on the driver: one entry per distinct character and context, bounded by the alphabet (Unicode times 36)."""
-    return {(r["c"], r["l"], r["r"]): r["n"] for r in counts(signals).collect()}
+    return {(r["c"], r["l"], r["r"]): r["n"] for r in counts(signals, key).collect()}
 
 
 def labelled(signals: DataFrame, key: str = "row_id") -> DataFrame:
@@ -324,7 +324,7 @@ def labelled(signals: DataFrame, key: str = "row_id") -> DataFrame:
 
     Null, empty and pure ASCII values are clean unless they hold lost characters or undecoded UTF-7. Repeated rows each count.
     """
-    known = signals.sparkSession.sparkContext.broadcast(model(signals))
+    known = signals.sparkSession.sparkContext.broadcast(model(signals, key))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Model(known.value)

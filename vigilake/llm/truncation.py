@@ -77,7 +77,7 @@ def scan(text: str) -> tuple[str, bool, bool, bool]:
     return mask(last), markup, whole and (not mark or dots), running and not whole and not dots
 
 
-def patterns(documents: DataFrame, key: str, text: str) -> DataFrame:
+def patterns(documents: DataFrame, text: str) -> DataFrame:
     """Distinct ``(m)``: every pattern of the corpus, those of endings with the marks taken off."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,36 +93,51 @@ def patterns(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def strict_prefixes(values: DataFrame, column: str) -> DataFrame:
-    """Distinct values of ``column`` that are a strict prefix of a longer value: one sort, no pairs.
+    """``(column, n, longer)`` of the values that are a strict prefix of a longer one: one sort, no pairs.
 
-    Nulls are left out; an empty table gives an empty result.
+    ``n`` is how many rows have the value, ``longer`` how many rows (at least one) of the same sorted stretch have a value that carries it
+    on. Nulls are left out; an empty table gives an empty result.
     """
-    n = width(values.sparkSession)
-    ordered = values.select(F.col(column).alias("m")).where(F.col("m").isNotNull()).distinct().repartitionByRange(n, "m").sortWithinPartitions("m")
-    ordered = cut(ordered)
+    parts = width(values.sparkSession)
+    counted = values.select(F.col(column).alias("m")).where(F.col("m").isNotNull()).groupBy("m").agg(F.count("*").alias("n"))
+    ordered = cut(counted.repartitionByRange(parts, "m").sortWithinPartitions("m"))
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pd.DataFrame({"p": [TaskContext.get().partitionId()], "m": [pdf["m"].iloc[0]]})
+                yield pd.DataFrame({"p": [TaskContext.get().partitionId()], "m": [pdf["m"].iloc[0]], "n": [pdf["n"].iloc[0]]})
                 return
 
-    heads = {r["p"]: r["m"] for r in ordered.mapInPandas(first, "p int, m string").collect()}  # one value per partition
+    heads = {r["p"]: (r["m"], r["n"]) for r in ordered.mapInPandas(first, "p int, m string, n long").collect()}  # one value per partition
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, before = TaskContext.get().partitionId(), None
+        here = TaskContext.get().partitionId()
+        open_: list[list] = []  # values met so far that are prefixes of the current one: [value, its rows, rows of longer values]
+        follows = next((heads[p] for p in sorted(heads) if p > here), None)
+
+        def close(upto: str | None) -> list[list]:
+            done = []
+            while open_ and (upto is None or not upto.startswith(open_[-1][0])):
+                x = open_.pop()
+                if x[2]:
+                    done.append(x)
+            return done
+
         for pdf in batches:
             out = []
-            for m in pdf["m"]:
-                if before is not None and m.startswith(before):
-                    out.append(before)
-                before = m
-            yield pd.DataFrame({"m": pd.Series(out, dtype=object)})
-        follows = next((heads[p] for p in sorted(heads) if p > here), None)
-        if before is not None and follows is not None and follows.startswith(before):
-            yield pd.DataFrame({"m": [before]})
+            for m, n in zip(pdf["m"], pdf["n"], strict=True):
+                out += close(m)
+                for x in open_:
+                    x[2] += n
+                open_.append([m, n, 0])
+            yield pd.DataFrame(out, columns=["m", "n", "longer"]).astype({"m": object, "n": "int64", "longer": "int64"})
+        if follows:
+            for x in open_:
+                if follows[0].startswith(x[0]):
+                    x[2] += follows[1]
+        yield pd.DataFrame(close(None), columns=["m", "n", "longer"]).astype({"m": object, "n": "int64", "longer": "int64"})
 
-    return ordered.mapInPandas(run, "m string").withColumnRenamed("m", column)
+    return ordered.mapInPandas(run, "m string, n long, longer long").withColumnRenamed("m", column)
 
 
 def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -138,7 +153,7 @@ def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     kind = dict(documents.dtypes)[key]
     ends = documents.select(key, F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(run, f"{key} {kind}, m string, markup boolean, whole boolean, running boolean")
-    longer = strict_prefixes(patterns(documents, key, text), "m").withColumn("longer", F.lit(True))
+    longer = strict_prefixes(patterns(documents, text), "m").select("m", F.lit(True).alias("longer"))
     joined = ends.join(longer, "m", "left").withColumn("longer", F.coalesce("longer", F.lit(False)))
     lost = F.col("markup") | F.col("running") | (F.col("longer") & (~F.col("whole") | F.col("m").rlike(r"(^|[^0.])0\.(0\.)?$")))
     return joined.where(lost).select(key, "longer", "markup", "running")

@@ -28,6 +28,7 @@ from vigilake.tables import cut, width
 _MORE = r"continued|more|read more|continue reading|mehr|weiterlesen|weiter lesen|suite|lire la suite|la suite|más|leer más|sigue|mais|leia mais|ler mais|continua|続き|続きを読む|truncated|snip|cut"
 _AFTER = re.compile(rf"(?:\s*(?:…|\.{{3,}}|\[\s*(?:\.\.\.|…|&hellip;|{_MORE})\s*(?:…|\.\.\.)?\]|\(\s*(?:\.\.\.|…|{_MORE})\s*(?:…|\.\.\.)?\)|(?<=[\s….])(?:{_MORE})(?:…|\.\.\.|»|>>|→)?(?=\s*$)|&hellip;|»|>>|→))+\s*$", re.I)
 _ENDMARK = re.compile(r"(?:\s*\n\s*(?:\*{3,}|#{3,}|-{3,}|={3,}|_{3,}|\[(?:EOF|end)\]|-+ ?end ?-+))+\s*$", re.I)
+_BLOCK = re.compile(r"[\r\n]+|</p>|</li>|<p>|<li>")
 _MARKUP = re.compile(r"(?:<[^<>\n]{0,400}|&#?\w{0,9}|!?\[[^\]\n]{0,200}\]\([^)\n]{0,400}|(?<!\w)\[[^\]\n]{0,120})$")
 _TAG = re.compile(r"<[^<>]*>")
 _SPLIT = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[。！？])|[\r\n]+|</?(?:p|li|ul|ol|div|h\d|tr|td|table|br)\b[^<>]*>", re.I)
@@ -52,15 +53,28 @@ def pieces(text: str) -> list[str]:
     return [s for x in _SPLIT.split(text) if x and (s := x.strip())]
 
 
+def _trimmed(text: str, pattern: re.Pattern) -> tuple[str, str]:
+    """(text before what ``pattern`` takes off its end, what that is). Marks are short: only the end of a text is searched."""
+    at = max(0, len(text) - 400)
+    m = pattern.search(text[at:])
+    return (text[: at + m.start()].rstrip(), m.group().strip()) if m else (text, "")
+
+
+def _last_piece(body: str) -> str:
+    """The last sentence or line: of the end of the text, or of all of it where that holds no border."""
+    near = pieces(body[-1500:])
+    return near[-1] if len(near) > 1 else (pieces(body) or [""])[-1]
+
+
 def ending(text: str) -> tuple[str, str, bool, str, bool]:
     """(text before end marks and what follows a break, last piece, within markup, the mark that follows a break, last piece is whole)."""
-    t = _ENDMARK.sub("", text.rstrip()).rstrip()
-    m = _AFTER.search(t)
-    body = t[: m.start()].rstrip() if m else t
-    markup = bool(_MARKUP.search(body)) or body.lower().rfind("<p>") > body.lower().rfind("</p>")
-    last = (pieces(body) or [""])[-1]
+    t = _trimmed(text.rstrip(), _ENDMARK)[0]
+    body, mark = _trimmed(t, _AFTER)
+    low = body.lower()
+    markup = bool(_MARKUP.search(body, max(0, len(body) - 1000))) or low.rfind("<p>") > low.rfind("</p>")
+    last = _last_piece(body)
     whole = bool(_WHOLE.search(_TAG.sub("", last).rstrip())) or bool(re.search(r"</\w+>$", body))
-    return body, last, markup, m.group().strip() if m else "", whole
+    return body, last, markup, mark, whole
 
 
 def scan(text: str) -> tuple[str, bool, bool, bool]:
@@ -70,7 +84,7 @@ def scan(text: str) -> tuple[str, bool, bool, bool]:
     a phrase that feeds always follow by dots is no prefix of itself.
     """
     body, last, markup, mark, whole = ending(text)
-    line = re.split(r"[\r\n]+|</p>|</li>|<p>|<li>", body)[-1].strip()
+    line = _BLOCK.split(body[-20_000:])[-1].strip()
     plain = _TAG.sub("", line)
     running = bool(_SENTENCE_BEFORE.search(plain)) or len(plain) > LONG_PIECE or bool(mark)
     dots = bool(re.fullmatch(r"(?:\.{3,}|…{2,}|[\s.]+)", mark))

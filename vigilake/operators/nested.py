@@ -186,7 +186,7 @@ def array_places(df: DataFrame, key: str, kind: str) -> set[str]:
             for p in pdf["payload"]:
                 if (r := read_record(p, kind)) is not None:
                     seen |= arrays_of(r, kind)
-        yield pd.DataFrame({"place": sorted(seen)})
+        yield pd.DataFrame({"place": pd.Series(sorted(seen), dtype=object)})
 
     places = df.select("payload").where("payload is not null").mapInPandas(scan, "place string").distinct()
     return DECLARED | {r[0] for r in places.collect()}

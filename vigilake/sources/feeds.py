@@ -143,8 +143,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False
     """JSON lines; tolerant reading drops lines that are no object of the schema, strict reading fails on them."""
     if strict:
         return spark.read.schema(schema).json(path, mode="FAILFAST")
-    rows = spark.read.schema(f"{schema}, _corrupt_record string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    line = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = spark.read.text(path).where(F.trim("value") != "").select(line.alias("j")).where("j is not null and j._corrupt_record is null")
+    return rows.select("j.*").drop("_corrupt_record")
 
 
 def read_envelope(spark: SparkSession, path: str, item: str) -> DataFrame:

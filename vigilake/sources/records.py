@@ -43,7 +43,7 @@ def techniques(bundles: DataFrame) -> DataFrame:
 def recall_class(payload: Column) -> Column:
     """Device class of a recall: its own, else that of its register entry; only 1, 2 and 3 count."""
     v = F.try_parse_json(payload)
-    at = lambda p: F.coalesce(F.try_variant_get(v, p, "string"), F.try_variant_get(v, f"{p}[0]", "string"))
+    at = lambda p: F.coalesce(F.try_variant_get(v, f"{p}[0]", "string"), F.try_variant_get(v, p, "string"))
     c = F.coalesce(at("$.device_class"), at("$.openfda.device_class"))
     return F.when(c.isin("1", "2", "3"), c)
 

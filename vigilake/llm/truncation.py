@@ -100,7 +100,7 @@ def patterns(documents: DataFrame, text: str) -> DataFrame:
             for t in pdf["t"]:
                 body = ending(t)[0]
                 seen.update(m for p in pieces(body) if (m := mask(p)))
-            yield pd.DataFrame({"m": list(seen)})
+            yield pd.DataFrame({"m": pd.Series(list(seen), dtype=object)})
 
     rows = documents.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
     return rows.mapInPandas(run, "m string").distinct()

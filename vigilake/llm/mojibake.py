@@ -32,6 +32,7 @@ FIELDS = ("title", "summary")
 #: What a value must have to be worth a look: a character beyond ASCII, a question mark, a UTF-7 shift or an entity.
 SUSPECT = r"[^\x00-\x7f]|\?|\+[A-Za-z0-9/]+-|&#?\w+;"
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_BYTES = re.compile("[\x80-\x9f]|[‚ƒ][^ ]")
 _UTF7 = re.compile(r"\+([A-Za-z0-9/]{3,})(?:-|(?![A-Za-z0-9/+]))")
 _ASKED = re.compile(r"\S*\?\S*")
 # Bytes that windows-1252 leaves open are read as control characters by browsers and feed readers.
@@ -143,7 +144,7 @@ class Model:
             near = (self.left.get((c, a), 0) if a else self.right.get((c, b), 0)) / (sum(v for (x, y), v in self.context.items() if (x == a if a else y == b)) + 1.0)
         else:
             near = bare
-        return -math.log(0.98 * near + 0.02 * bare + 1e-9)
+        return -math.log(0.995 * near + 0.005 * bare + 1e-9)
 
     def run(self, left: str, run: str, right: str) -> tuple[float, dict[int, tuple[float, str]]]:
         """Costs of a non-ASCII run: clean, and for each pair that can explain some of it (cost, restored run)."""
@@ -192,11 +193,11 @@ class Model:
         spans = list(_RUN.finditer(text))
         if not spans:
             return None
+        if _BYTES.search(text) and (s := self._shift_jis(text)):
+            return "sjis", s
         costs = [self.run(kind_of(text[m.start() - 1 : m.start()]), m.group(), kind_of(text[m.end() : m.end() + 1])) for m in spans]
         if not any(c[0] < clean for clean, by in costs for c in by.values()):
             return None
-        if s := self._shift_jis(text):
-            return "sjis", s
         # Viterbi over the runs; state 0 is clean, a run that a pair can't explain costs it as clean text does.
         states = [-1, *sorted({k for _, by in costs for k in by})]
         enter = {k: -self.priors[k] for k in states[1:]}
@@ -240,7 +241,7 @@ class Model:
                     beyond = [c for c in back if not c.isascii()]
                     known = sum("　" <= c <= "ヿ" or "一" <= c <= "鿿" or "！" <= c <= "～" for c in beyond)
                     kana = sum("぀" <= c <= "ヿ" for c in beyond)
-                    if len(beyond) >= 4 and known >= 0.9 * len(beyond) and kana >= 0.25 * len(beyond):
+                    if len(beyond) >= 3 and known >= 0.9 * len(beyond) and kana >= 1 and (kana >= 0.25 * len(beyond) or "�" not in back):
                         return back
         return None
 

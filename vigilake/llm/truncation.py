@@ -25,15 +25,15 @@ from pyspark.sql import functions as F
 from vigilake.tables import cut, width
 
 # What stands after a break or an end in the six languages of the feeds.
-_MORE = r"continued|more|read more|continue reading|mehr|weiterlesen|weiter lesen|suite|lire la suite|la suite|más|leer más|sigue|mais|leia mais|ler mais|continua|続き|続きを読む|truncated|snip|cut"
-_AFTER = re.compile(rf"(?:\s*(?:…|\.{{3,}}|\[\s*(?:\.\.\.|…|&hellip;|{_MORE})\s*(?:…|\.\.\.)?\]|\(\s*(?:\.\.\.|…|{_MORE})\s*(?:…|\.\.\.)?\)|(?<=[\s….])(?:{_MORE})(?:…|\.\.\.|»|>>|→)?(?=\s*$)|&hellip;|»|>>|→))+\s*$", re.I)
+_MORE = r"continued|more|read more|continue reading|mehr|weiterlesen|weiter lesen|suite|lire la suite|la suite|más|leer más|sigue|mais|leia mais|ler mais|continua|続く|続き|続きを読む|truncated|snip|cut"
+_AFTER = re.compile(rf"(?:\s*(?:…|\.{{3,}}|\[\s*(?:\.\.\.|…|&hellip;|{_MORE})\s*(?:…|\.\.\.)?\]|[(（]\s*(?:\.\.\.|…|{_MORE})\s*(?:…|\.\.\.)?[)）]|(?<=[\s….])(?:{_MORE})(?:…|\.\.\.|»|>>|→)?(?=\s*$)|&hellip;|»|>>|→))+\s*$", re.I)
 _ENDMARK = re.compile(r"(?:\s*\n\s*(?:\*{3,}|#{3,}|-{3,}|={3,}|_{3,}|\[(?:EOF|end)\]|-+ ?end ?-+))+\s*$", re.I)
 _BLOCK = re.compile(r"[\r\n]+|</p>|</li>|<p>|<li>")
 _MARKUP = re.compile(r"(?:<[^<>\n]{0,400}|&#?\w{0,9}|!?\[[^\]\n]{0,200}\]\([^)\n]{0,400}|(?<!\w)\[[^\]\n]{0,120})$")
 _TAG = re.compile(r"<[^<>]*>")
 _SPLIT = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[。！？])|[\r\n]+|</?(?:p|li|ul|ol|div|h\d|tr|td|table|br)\b[^<>]*>", re.I)
 _WHOLE = re.compile(r"[.!?。！？][\"”’»)\]*_]*$")
-_SENTENCE_BEFORE = re.compile(r"(?:[^\W\d_]{4,}|\d)[\"”’»)]*[.!?]\s+[\w\"“„«‘¿¡]|[。！？].")
+_SENTENCE_BEFORE = re.compile(r"(?:[^\W\d_]{4,}|\d)[\"”’»)]*\.\s+[\w\"“„«‘¿¡]|。.")
 #: A piece longer than any heading, list item or signature of the feeds is running text.
 LONG_PIECE = 160
 
@@ -43,7 +43,7 @@ def mask(text: str) -> str:
     s = re.sub(r"[™®]", "", _TAG.sub("", text))
     s = re.sub(r"\b(?=[0-9a-f]*\d)[0-9a-f]{8}\b", "H", s)
     s = re.sub(r"\d+", "0", s)
-    s = re.sub(r"\b[A-ZÀ-Þ][\w-]*", "N", s)
+    s = re.sub(r"(?<![0-9A-Za-zÀ-ÿ_])[A-ZÀ-Þ][0-9A-Za-zÀ-ÿ_-]*", "N", s)
     s = re.sub(r"N(?:[ -]+N)+", "N", s)
     return re.sub(r"\s+", " ", s).strip()
 
@@ -88,7 +88,8 @@ def scan(text: str) -> tuple[str, bool, bool, bool]:
     plain = _TAG.sub("", line)
     running = bool(_SENTENCE_BEFORE.search(plain)) or len(plain) > LONG_PIECE or bool(mark)
     dots = bool(re.fullmatch(r"(?:\.{3,}|…{2,}|[\s.]+)", mark))
-    return mask(last), markup, whole and (not mark or dots), running and not whole and not dots
+    more = bool(re.search(r"\w", mark))  # a mark in words is set where a text was cut, also after a full stop
+    return mask(last), markup, whole and (not mark or dots), more or (running and not whole and not dots)
 
 
 def patterns(documents: DataFrame, text: str) -> DataFrame:

@@ -64,3 +64,30 @@ def test_streams_equal_batches(spark, tmp_path):
     assert sorted(r.user_id for r in once.collect()) == [0, 1, 2, 3, 4]
     spans = streams.finished(streams.seen_spans(streams.arriving(spark, str(tmp_path), "events"), "user_id", "ts"), "complete")
     assert {r.n for r in spans.collect()} == {6}
+
+
+def test_advisories_and_decisions(spark):
+    csaf = {
+        "document": {"title": "t", "tracking": {"id": "A-1", "initial_release_date": "d"}, "notes": [{"category": "legal", "text": "no"}, {"category": "summary", "text": "s"}]},
+        "vulnerabilities": [{"cve": "CVE-2", "cwe": {"id": "CWE-9"}, "scores": [{"cvss_v3": {"baseScore": 5.0, "vectorString": "v1"}}], "remediations": [{"details": "a"}, {"details": "b"}]}, {"cve": "CVE-1", "scores": [{"cvss_v3": {"baseScore": 9.0}}], "remediations": [{"details": "a"}]}],
+        "product_tree": {"branches": [{"name": "vendor", "branches": [{"name": "p"}, {"name": "q"}]}]},
+    }
+    row = records.advisories(payloads(spark, json.dumps(csaf), "{}", None, "bad")).collect()
+    assert len(row) == 1
+    r = row[0]
+    assert (r.advisory_id, r.summary, r.cves, r.cwe_ids, r.remediations, r.score, r.vector, r.vendor, r.products) == ("A-1", "s", ["CVE-1", "CVE-2"], ["CWE-9"], ["a", "b"], 9.0, "v1", "vendor", ["p", "q"])
+    adp = {"containers": {"adp": [{"metrics": [{"other": {"content": {"options": [{"Exploitation": "none"}, {"Automatable": "no"}, {"Exploitation": "active"}]}}}, {"cvssV3_1": {"baseScore": 7.0, "baseSeverity": "HIGH"}}], "problemTypes": [{"descriptions": [{"cweId": "CWE-2"}, {"cweId": "CWE-2"}]}]}]}}
+    r = records.decisions(payloads(spark, json.dumps(adp), "{}")).first()
+    assert (r.score, r.severity, r.exploitation, r.automatable, r.technical_impact, r.cwe_ids) == (7.0, "HIGH", "active", "no", None, ["CWE-2"])
+
+
+def test_overlays(spark):
+    schema = "id string, title string, cves array<string>, score double"
+    base = spark.createDataFrame([("a", "old", ["2"], 5.0), ("b", "old", None, None)], schema)
+    detail = spark.createDataFrame([("a", "", ["1", "2"], 9.0)], schema)
+    got = {r.id: (r.title, r.cves, r.score) for r in records.overlaid(base, detail, "id", ["cves"], ["score"]).collect()}
+    assert got == {"a": ("old", ["1", "2"], 9.0), "b": ("old", [], None)}
+    maps = spark.createDataFrame([({"x": "1", "y": "1"}, {"y": "2"}), (None, {"z": "3"}), ({"x": "1"}, None)], "a map<string,string>, b map<string,string>")
+    from pyspark.sql import functions as F
+
+    assert [r.m for r in maps.select(records.overlaid_maps(F.col("a"), F.col("b")).alias("m")).collect()] == [{"x": "1", "y": "2"}, {"z": "3"}, {"x": "1"}]

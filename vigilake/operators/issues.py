@@ -86,8 +86,9 @@ def new_items(signals: DataFrame, seen_batch: int) -> DataFrame:
     for key in ("guid", "signal_id"):
         later = later.join(old.where(F.col(key) != "").select("source", key).distinct(), ["source", key], "left_anti")
     for key in ("guid", "signal_id"):
-        once = Window.partitionBy("source", key).orderBy("row_id")
-        later = later.withColumn(f"__{key}", F.when(F.col(key) == "", 1).otherwise(F.row_number().over(once)))
+        # A row without the key is a group of its own, so blanks make no hot group.
+        own = F.when(F.col(key) == "", F.col("row_id").cast("string")).otherwise(F.concat(F.lit("k"), F.col(key)))
+        later = later.withColumn(f"__{key}", F.row_number().over(Window.partitionBy("source", own).orderBy("row_id")))
     return later.where("__guid = 1 and __signal_id = 1").drop("__guid", "__signal_id")
 
 
@@ -115,7 +116,7 @@ def merged_components(pairs: DataFrame) -> DataFrame:
     """
     order = lambda c: F.struct((~c.startswith("CVE-")).alias("k"), c.alias("v"))
     edges = pairs.where("a is not null and b is not null and a <> b").select(order(F.col("a")).alias("u"), order(F.col("b")).alias("v")).distinct()
-    edges = cut(edges)
+    edges, mark = cut(edges), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -125,9 +126,10 @@ def merged_components(pairs: DataFrame) -> DataFrame:
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         after = cut(small.where("u <> v").distinct())
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        edges, before = after, mark
+        mark = tuple(after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+        if mark == before:
             break
-        edges = after
     roots = edges.select(F.col("u.v").alias("id"), F.col("v.v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("id"), "root")).distinct()
 
@@ -135,11 +137,12 @@ def merged_components(pairs: DataFrame) -> DataFrame:
 def merged(issues: DataFrame, components: DataFrame) -> DataFrame:
     """Issues of one component as one: united lists, extremes of times, counts anew, and which issues went in."""
     rows = issues.join(components.withColumnRenamed("id", "issue_id"), "issue_id", "left").withColumn("root", F.coalesce("root", "issue_id"))
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
-    return rows.groupBy("root").agg(
-        union("cves").alias("cves"), union("sources").alias("sources"), longest("title").alias("title"), longest("summary").alias("summary"), F.max("last_seen_at").alias("last_seen_at"),
-        F.count("*").alias("n_issues"), F.array_sort(F.collect_list("issue_id")).alias("merged_from"),
-    )
+    out = rows.groupBy("root").agg(longest("title").alias("title"), longest("summary").alias("summary"), F.max("last_seen_at").alias("last_seen_at"), F.count("*").alias("n_issues"))
+    for c, each in (("cves", F.explode("cves")), ("sources", F.explode("sources")), ("merged_from", F.col("issue_id"))):
+        # Distinct values are found before anything is collected: a list is as long as its values are many, not its rows.
+        values = rows.select("root", each.alias("v")).where("v is not null").distinct().groupBy("root").agg(F.array_sort(F.collect_list("v")).alias(c))
+        out = out.join(values, "root", "left").withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
+    return out
 
 
 def patch_status(hay: Column) -> Column:

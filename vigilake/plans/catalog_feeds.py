@@ -144,3 +144,21 @@ def page_join(s: SparkSession, d: str) -> DataFrame:
     pages = table(s, d, "documents").where("url is not null and url <> ''").select("doc_id", F.sha2("url", 256).alias("page"))
     links = signals_of(s, d).select("row_id", F.sha2(T.text(F.col("link")), 256).alias("page"))
     return links.join(pages, "page").select("row_id", "doc_id")
+
+
+@query("record_advisories", f"SELECT issue_id AS advisory_id, coalesce(title, '') AS title, array_to_string(list_sort(list_distinct(list_filter(coalesce(cves, []), lambda x: coalesce(x, '') <> ''))), ';') AS cves, 2 AS n_remediations FROM issues WHERE issue_id IS NOT NULL")
+def record_advisories(s: SparkSession, d: str) -> DataFrame:
+    """Every issue as a document of the common advisory format, written and parsed again."""
+    fixes = F.array(*[F.struct(F.lit(x).alias("details")) for x in ("patch", "isolate", "patch")])
+    body = F.struct(
+        F.struct(F.col("title"), F.struct(F.col("issue_id").alias("id")).alias("tracking")).alias("document"),
+        F.concat(F.transform(F.coalesce("cves", F.array().cast("array<string>")), lambda c: F.struct(c.alias("cve"), fixes.alias("remediations"))), F.array(F.struct(F.lit(None).cast("string").alias("cve"), fixes.alias("remediations")))).alias("vulnerabilities"),
+    )
+    rows = records.advisories(table(s, d, "issues").where("issue_id is not null").select(F.to_json(body).alias("payload")))
+    return rows.select("advisory_id", "title", F.array_join("cves", ";").alias("cves"), F.size("remediations").alias("n_remediations"))
+
+
+@query("record_overlay", "SELECT i.issue_id, CASE WHEN r.title <> '' THEN r.title ELSE i.title END AS title FROM issues i LEFT JOIN (SELECT issue_id, min(title) AS title FROM issue_records WHERE title IS NOT NULL GROUP BY issue_id) r USING (issue_id)")
+def record_overlay(s: SparkSession, d: str) -> DataFrame:
+    detail = table(s, d, "issue_records").where("title is not null").groupBy("issue_id").agg(F.min("title").alias("title"))
+    return records.overlaid(table(s, d, "issues").select("issue_id", "title"), detail, "issue_id", [], [])

@@ -20,11 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.tables import cut
+from vigilake.tables import cut, width
 
 CAPACITY = 2048
 GROUP = 4096
 NODES = 6000
+GROUPS_A_TASK = 16
 OPEN = 32  # a container with more free tokens than this is packed again across groups
 SCHEMA = "container long, position int, doc_id long, part int, tokens int"
 
@@ -168,7 +169,8 @@ def _pack(pdf: pd.DataFrame, capacity: int, base: int) -> pd.DataFrame:
 def _grouped(items: DataFrame, rows: int, group: int, capacity: int, base: int) -> DataFrame:
     n = max(1, math.ceil(rows / group))
     salted = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "part"), F.lit(n)).cast("int"))
-    return salted.groupBy("grp").applyInPandas(lambda pdf: _pack(pdf, capacity, base), SCHEMA)
+    tasks = max(width(items.sparkSession), math.ceil(n / GROUPS_A_TASK))
+    return salted.repartition(tasks, "grp").groupBy("grp").applyInPandas(lambda pdf: _pack(pdf, capacity, base), SCHEMA)
 
 
 def containers(sizes: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:

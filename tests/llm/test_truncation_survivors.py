@@ -41,6 +41,19 @@ def test_strict_prefixes_equal_brute_force(spark, parts):
     assert got == {v for v in known if any(w != v and w.startswith(v) for w in known)}
 
 
+@pytest.mark.parametrize("parts", [1, 3, 200])
+def test_rows_of_longer_values_equal_brute_force(spark, parts):
+    values = ["", "n", None, "z", "zz"] + [f"n {i:03d}" for i in range(300)] + [f"n 1{i % 10}" for i in range(25)] + ["n 299 x"] * 4
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {(r.v, r.n, r.longer) for r in X.strict_prefixes(spark.createDataFrame([(v,) for v in values], "v string"), "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    known = [v for v in values if v is not None]
+    longer = {v: sum(w != v and w.startswith(v) for w in known) for v in known}
+    assert got == {(v, known.count(v), k) for v, k in longer.items() if k}
+
+
 RECORDS = "record_id long, issue_id string, source string, title string, summary string, published_date string, fetched_at timestamp, cves array<string>"
 SOURCES = "source_id string, tier int, feed_tz string, date_order string"
 

@@ -9,7 +9,8 @@ item, table line, signature, link, reference or deliberate dots isn't cut.
 Marks that feeds set after the break ("...", "[more]", "Read more") and end marks ("***", "-- end --") are taken off first. A break within markup
 (an open tag, entity or link) and one within a line that already holds a full sentence need no longer copy.
 
-The sorted patterns go through ``spark.checkpoint.dir``; what the driver sees is the first pattern of each partition, a number that the session sets.
+The sorted patterns go through ``spark.checkpoint.dir``; what the driver sees is, for each partition (a number that the session sets), the first and last pattern and
+those that are prefixes of the last.
 """
 
 from __future__ import annotations
@@ -110,29 +111,38 @@ def patterns(documents: DataFrame, text: str) -> DataFrame:
 def strict_prefixes(values: DataFrame, column: str) -> DataFrame:
     """``(column, n, longer)`` of the values that are a strict prefix of a longer one: one sort, no pairs.
 
-    ``n`` is how many rows have the value, ``longer`` how many rows (at least one) of the same sorted stretch have a value that carries it
-    on. Nulls are left out; an empty table gives an empty result.
+    ``n`` is how many rows have the value, ``longer`` how many rows (at least one) have a value that carries it on, in whatever partitions
+    they are: each counts for the prefixes that earlier ones left open. Nulls are left out; an empty table gives an empty result.
     """
     parts = width(values.sparkSession)
     counted = values.select(F.col(column).alias("m")).where(F.col("m").isNotNull()).groupBy("m").agg(F.count("*").alias("n"))
     ordered = cut(counted.repartitionByRange(parts, "m").sortWithinPartitions("m"))
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        head, last, chain = None, None, []
         for pdf in batches:
-            if len(pdf):
-                yield pd.DataFrame({"p": [TaskContext.get().partitionId()], "m": [pdf["m"].iloc[0]], "n": [pdf["n"].iloc[0]]})
-                return
-
-    heads = {r["p"]: (r["m"], r["n"]) for r in ordered.mapInPandas(first, "p int, m string, n long").collect()}  # one value per partition
+            for m in pdf["m"]:
+                head = m if head is None else head
+                while chain and not m.startswith(chain[-1]):
+                    chain.pop()
+                chain.append(last := m)
+        if chain:
+            yield pd.DataFrame({"p": [TaskContext.get().partitionId()], "first": [head], "last": [last], "chain": [chain]})
+
+    # Per partition the values of earlier ones that its first value carries on.
+    before: dict[int, list[str]] = {}
+    chain: list[str] = []
+    for r in sorted(ordered.mapInPandas(ends, "p int, first string, last string, chain array<string>").collect()):
+        before[r["p"]] = [m for m in chain if r["first"].startswith(m)]
+        chain = [m for m in before[r["p"]] if r["last"].startswith(m)] + r["chain"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here = TaskContext.get().partitionId()
-        open_: list[list] = []  # values met so far that are prefixes of the current one: [value, its rows, rows of longer values]
-        follows = next((heads[p] for p in sorted(heads) if p > here), None)
+        # Values met so far that are prefixes of the current one: [value, its rows here, rows of longer values here].
+        open_: list[list] = [[m, 0, 0] for m in before.get(TaskContext.get().partitionId(), [])]
 
-        def close(upto: str | None) -> list[list]:
+        def close(upto: str) -> list[list]:
             done = []
-            while open_ and (upto is None or not upto.startswith(open_[-1][0])):
+            while open_ and not upto.startswith(open_[-1][0]):
                 x = open_.pop()
                 if x[2]:
                     done.append(x)
@@ -146,13 +156,10 @@ def strict_prefixes(values: DataFrame, column: str) -> DataFrame:
                     x[2] += n
                 open_.append([m, n, 0])
             yield pd.DataFrame(out, columns=["m", "n", "longer"]).astype({"m": object, "n": "int64", "longer": "int64"})
-        if follows:
-            for x in open_:
-                if follows[0].startswith(x[0]):
-                    x[2] += follows[1]
-        yield pd.DataFrame(close(None), columns=["m", "n", "longer"]).astype({"m": object, "n": "int64", "longer": "int64"})
+        yield pd.DataFrame(open_, columns=["m", "n", "longer"]).astype({"m": object, "n": "int64", "longer": "int64"})
 
-    return ordered.mapInPandas(run, "m string, n long, longer long").withColumnRenamed("m", column)
+    counts = ordered.mapInPandas(run, "m string, n long, longer long").groupBy("m").agg(F.sum("n").alias("n"), F.sum("longer").alias("longer"))
+    return counts.where("longer > 0").withColumnRenamed("m", column)
 
 
 def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

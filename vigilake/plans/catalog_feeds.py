@@ -99,9 +99,9 @@ def stream_issue_state(s: SparkSession, d: str) -> DataFrame:
     return streams.finished(streams.seen_spans(streams.arriving(s, d, "events"), "user_id", "ts"), "complete")
 
 
-@query("stream_windows")
+@query("stream_windows", "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type AS kind, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL")
 def stream_windows(s: SparkSession, d: str) -> DataFrame:
-    return streams.finished(streams.windows(streams.arriving(s, d, "events"), "ts"))
+    return streams.finished(streams.windows(streams.arriving(s, d, "events"), "ts"), "complete")
 
 
 @query("stream_new_items", "SELECT DISTINCT source, guid FROM signals WHERE guid IS NOT NULL")

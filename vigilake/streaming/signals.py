@@ -44,7 +44,9 @@ def seen_spans(stream: DataFrame, key: str, at: str) -> DataFrame:
     return stream.groupBy(key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count("*").alias("n"))
 
 
-def windows(stream: DataFrame, at: str, length: str = "1 day", late: str = "2 days") -> DataFrame:
-    """``(start, kind, n)`` per tumbling window; rows later than ``late`` are dropped, as a bound on the state."""
-    timed = stream.withColumn("__at", F.col(at).cast("timestamp")).withWatermark("__at", late)
+def windows(stream: DataFrame, at: str, length: str = "1 day") -> DataFrame:
+    """``(start, kind, n)`` per tumbling window, for the mode "complete": late rows count and windows still open come out. The state is a row
+    per window and kind. Rows without a time are in no window.
+    """
+    timed = stream.withColumn("__at", F.col(at).cast("timestamp"))
     return timed.groupBy(F.window("__at", length), F.col("event_type").alias("kind")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "kind", "n")

@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_restored": lambda s, d: mojibake.labelled(table(s, d, "signals")),
     "p3_found": lambda s, d: components.found(table(s, d, "merge_decisions")),
     "p4_found": lambda s, d: history.found(table(s, d, "signals")),
+    "p4_recall": lambda s, d: history.recall(table(s, d, "signals")),
     "p6_found": lambda s, d: survivors.winners(table(s, d, "issue_records"), table(s, d, "sources")),
     "p6_records": lambda s, d: survivors.survivors(table(s, d, "issue_records"), table(s, d, "sources")),
     "p6_sources": p6_sources,

@@ -43,16 +43,31 @@ def test_wrappings_are_read_and_broken_payloads_are_not():
 
 def test_equal_shapes_have_equal_states():
     a = N.Automaton()
-    assert a.state({"x": 1, "y": ["s"]}) == a.state({"y": ["t", "u"], "x": 2}) != a.state({"x": 1, "y": [1]})
+    one, same, other = a.read({"x": 1, "y": ["s"]}), a.read({"y": ["t", "u"], "x": 2}), a.read({"x": 1, "y": [1]})
+    assert one.state == same.state != other.state and a.final[one.state] == "object"
 
 
-def test_rows_count_by_themselves_and_types_split(spark):
+def test_final_states():
+    a = N.Automaton()
+    for value, subtype in ((None, None), (" ", None), ({}, None), ([], None), ("x", "text"), (0, "number"), (False, "boolean"), ({"version": "1", "builds": []}, "version"), ({"role": "r", "details": "d"}, "step"), ({"role": "r", "tasks": []}, "role_tasks"), ({"task": None}, "task"), ({"q": 1}, "object"), (["x"], "array")):
+        assert a.final[a.read(value).state] == subtype
+
+
+def test_rows_count_by_themselves_and_types_split(spark, tmp_path):
     rows = spark.createDataFrame([(1, json.dumps(ADVISORY), 0), (1, json.dumps(ADVISORY), 0), (2, None, 0), (3, "{", 0)], "rec_id long, payload string, path int")
     got = N.child_rows(rows, "rec_id", "advisory")
-    assert got.count() == 14 and {r.rec_id for r in got.collect()} == {1}
-    versions = N.subtype(got, "affected_versions", {"version": "string"})
-    assert sorted(r.version for r in versions.collect()) == ["1", "1", "3", "3"]
-    assert N.child_rows(rows.limit(0), "rec_id", "advisory").count() == 0
+    folder = N.route(got, str(tmp_path / "t"))
+    everything = N.supertype(spark, folder)
+    assert everything.count() == 14 and {r.rec_id for r in everything.collect()} == {1}
+    versions = N.typed(spark, folder, "version").collect()
+    assert sorted(r.version for r in versions) == ["1", "1", "3", "3"] and {r.parent_path for r in versions} == {"", "products[0]"}
+    assert N.typed(spark, folder, "text").where("field = 'mitigations'").first().value == "do it"
+    assert N.supertype(spark, N.route(N.child_rows(rows.limit(0), "rec_id", "advisory"), str(tmp_path / "e"))).count() == 0
+
+
+def test_keys_made_per_record_are_not_collected(spark):
+    rows = [(i, json.dumps({"advisory_id": "a", "mitigations": [{f"k{i}": ["t"]}]})) for i in range(50)]
+    assert N.array_places(spark.createDataFrame(rows, "rec_id long, payload string"), "advisory") == N.DECLARED
 
 
 def test_single_value_where_others_have_arrays_is_learned(spark):

@@ -1,10 +1,11 @@
 """Deeply nested, varying records -> flat child tables that keep record, parent and place.
 
-Structural-variant tables. A payload is read once into a tree; a bottom-up tree automaton gives every node a
-state (scalar kinds at the leaves, an array's state from the set of its children's states, an object's state from
-its keys with their states), so equal shapes have equal states. Each child row carries its state, its *variant*
-(the readable name of the subtype: ``text``, ``number``, ``object(action,steps)`` ...) and the supertype keys
-``kind, rec_id, field, parent_path, path, pos``; ``subtype`` cuts one variant out as a typed table and keeps those keys.
+Structural-variant tables. A payload is read once into a tree, and a bottom-up tree automaton runs over it: each node's state follows from
+the states of its children (scalar kinds at the leaves, the set of the elements' states for an array, keys with their states for an object), so equal
+shapes have equal states, and a node that says nothing (null, blank, without entries) is in the state ``empty``. The states are final for one *subtype* each or for none:
+``SUBTYPES`` says which keys an object of a subtype has, and an object is of the subtype it shares most keys with. Child rows are routed by that to typed subtype tables
+(``route``, one folder each; ``typed`` reads one), all of which keep the supertype keys ``kind, rec_id, field, parent_path, path, pos``; a node in a state that is final for
+no subtype goes nowhere, only its place counts.
 
 Where other records have an array, a single value or object is that array with one element. Which places those are
 is learned from all payloads in a first pass (``array_places``) and added to the declared ones.
@@ -15,9 +16,10 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIELDS = {"advisory": ("affected_versions", "mitigations"), "packet": ("recommended_patterns", "tasks_by_role")}
@@ -30,7 +32,14 @@ DECLARED = {
     "affected_versions", "mitigations", "products", "affected_versions[].builds", "mitigations[].steps", "recommended_patterns",
     "recommended_patterns[].side_effects", "tasks_by_role.*", "tasks_by_role[].tasks", "tasks_by_role.*[].depends_on", "tasks_by_role[].tasks[].depends_on",
 }
-SCHEMA = "kind string, rec_id long, field string, parent_path string, path string, pos int, variant string, state string, value string"
+#: Typed columns of the objects of each subtype; arrays in them are child rows of their own.
+SUBTYPES = {
+    "version": {"version": "string", "fixed_in": "string"}, "mitigation": {"action": "string", "source_tier": "string"}, "step": {"role": "string", "details": "string"},
+    "pattern": {"pattern_id": "string", "priority_order": "int", "why_selected": "string", "friction_level": "string"}, "role_tasks": {"role": "string", "tasks": "string"}, "task": {"task": "string", "due_days": "int"},
+}
+SCALARS = {"text": "string", "number": "double", "boolean": "boolean"}
+OTHER = ("object", "array")
+SCHEMA = "kind string, rec_id long, field string, parent_path string, path string, pos int, subtype string, variant string, state string, value string"
 
 
 def read_record(text: object, kind: str) -> dict | None:
@@ -70,21 +79,39 @@ def read_record(text: object, kind: str) -> dict | None:
     return locate(parse(text), 0) if isinstance(text, str) else None
 
 
+class Node(NamedTuple):
+    """A value with its state and, for arrays and objects, its children's nodes."""
+
+    value: object
+    state: str
+    kids: dict[str, Node] | list[Node] | None = None
+
+
 class Automaton:
-    """Bottom-up: ``state(tree)`` by memoised transitions, ``variant(tree)`` the readable subtype of a node."""
+    """Bottom-up: ``read`` gives every node of a tree its state in one pass; ``final`` the subtype that a state stands for."""
 
     def __init__(self) -> None:
         self._known: dict[tuple, str] = {}
+        self.final: dict[str, str | None] = {"empty": None} | {k: k for k in SCALARS}
 
-    def state(self, o: object) -> str:
+    def read(self, o: object) -> Node:
         if isinstance(o, dict):
-            rule = ("object", *sorted((k, self.state(v)) for k, v in o.items()))
-        elif isinstance(o, list):
-            rule = ("array", *sorted({self.state(v) for v in o}))
-        else:
-            return self.variant(o)
+            kids = {k: self.read(v) for k, v in o.items()}
+            return Node(o, self._state(("object", *sorted((k, n.state) for k, n in kids.items()))) if o else "empty", kids)
+        if isinstance(o, list):
+            items = [self.read(v) for v in o]
+            return Node(o, self._state(("array", *sorted({n.state for n in items}))) if o else "empty", items)
+        if isinstance(o, str):
+            return Node(o, "text" if o.strip() else "empty")
+        return Node(o, "empty" if o is None else "boolean" if isinstance(o, bool) else "number")
+
+    def _state(self, rule: tuple) -> str:
+        """Transition: the state of a node whose kind and children's states are ``rule``."""
         if rule not in self._known:
-            self._known[rule] = f"{rule[0]}-{hashlib.blake2b(repr(rule).encode(), digest_size=5).hexdigest()}"
+            state = self._known[rule] = f"{rule[0]}-{hashlib.blake2b(repr(rule).encode(), digest_size=5).hexdigest()}"
+            keys = {k for k, _ in rule[1:]} if rule[0] == "object" else set()
+            shared, name = max(((len(keys & t.keys()) / len(t), name) for name, t in SUBTYPES.items()), default=(0, ""))
+            self.final[state] = name if shared else rule[0]
         return self._known[rule]
 
     @staticmethod
@@ -118,78 +145,79 @@ def _roots(record: dict, kind: str) -> Iterator[tuple[str, str, object]]:
                     yield f, f"products[{i}].{f}", p[f]
 
 
-def arrays_of(record: dict, kind: str) -> set[str]:
-    """The places at which this record has arrays."""
-    seen: set[str] = set()
+def places_of(record: dict, kind: str) -> dict[str, bool]:
+    """The places of this record, and whether they are arrays."""
+    seen: dict[str, bool] = {}
 
     def walk(o: object, place: str) -> None:
+        seen[place] = seen.get(place, False) or isinstance(o, list)
         if isinstance(o, list):
-            seen.add(place)
             for v in o:
-                walk(v, place + "[]")
+                if isinstance(v, (list, dict)):
+                    walk(v, place + "[]")
         elif isinstance(o, dict):
             for k, v in o.items():
                 walk(v, _place(place, k))
 
     for f, _, tree in _roots(record, kind):
         walk(tree, f)
-    return seen - {"tasks_by_role"}
+    seen.pop("tasks_by_role", None)
+    return seen
 
 
 def children(record: dict, kind: str, arrays: set[str], automaton: Automaton) -> Iterator[tuple]:
-    """(field, parent_path, path, pos, variant, state, value) of each child that says something."""
+    """(field, parent_path, path, pos, subtype, variant, state, value) of each child in a state that is final for a subtype."""
 
-    def says(o: object) -> bool:
-        return o is not None and o != {} and o != [] and not (isinstance(o, str) and not o.strip())
+    def row(f: str, parent: str, path: str, pos: int | None, n: Node, name: str) -> tuple:
+        return f, parent, path, pos, name, automaton.variant(n.value), n.state, n.value if isinstance(n.value, str) else json.dumps(n.value, ensure_ascii=False)
 
-    def row(f: str, parent: str, path: str, pos: int | None, o: object) -> tuple:
-        return f, parent, path, pos, automaton.variant(o), automaton.state(o), o if isinstance(o, str) else json.dumps(o, ensure_ascii=False)
-
-    def walk(f: str, o: object, place: str, path: str, parent: str) -> Iterator[tuple]:
-        role_map = place == "tasks_by_role" and isinstance(o, dict) and _is_role_map(o)
-        if not isinstance(o, list) and (place in arrays or place == "tasks_by_role") and not role_map:
-            o = [o]
-        if isinstance(o, list):
-            for i, v in enumerate(o):
+    def walk(f: str, n: Node, place: str, path: str, parent: str) -> Iterator[tuple]:
+        role_map = place == "tasks_by_role" and isinstance(n.value, dict) and _is_role_map(n.value)
+        if isinstance(n.value, list) or (place in arrays or place == "tasks_by_role") and not role_map:
+            for i, v in enumerate(n.kids if isinstance(n.value, list) else [n]):
                 here = f"{path}[{i}]"
-                if says(v):
-                    yield row(f, parent, here, i, v)
+                if (name := automaton.final[v.state]) is not None:
+                    yield row(f, parent, here, i, v, name)
                 yield from inside(f, v, place + "[]", here, here)
         else:
-            yield from inside(f, o, place, path, parent)
+            yield from inside(f, n, place, path, parent)
 
-    def inside(f: str, o: object, place: str, path: str, parent: str) -> Iterator[tuple]:
-        if isinstance(o, list):
-            yield from walk(f, o, place, path, parent)
-        elif isinstance(o, dict):
+    def inside(f: str, n: Node, place: str, path: str, parent: str) -> Iterator[tuple]:
+        if isinstance(n.value, list):
+            yield from walk(f, n, place, path, parent)
+        elif isinstance(n.value, dict):
             entries = f == "recommended_patterns" and place.endswith("].parameters")
-            for k, v in o.items():
-                if entries and says(v):
-                    yield row(f, parent, f"{path}.{k}", None, v)
+            for k, v in n.kids.items():
+                if entries and (name := automaton.final[v.state]) is not None:
+                    yield row(f, parent, f"{path}.{k}", None, v, name)
                 yield from walk(f, v, _place(place, k), f"{path}.{k}", parent)
 
     for f, path, tree in _roots(record, kind):
         head, dot, _ = path.rpartition(".")
-        yield from walk(f, tree, f, path, head if dot else "")
+        yield from walk(f, automaton.read(tree), f, path, head if dot else "")
 
 
-def array_places(df: DataFrame, key: str, kind: str) -> set[str]:
-    """Places at which any payload of ``df`` has an array, with the declared ones.
+def array_places(df: DataFrame, kind: str) -> set[str]:
+    """Places at which a payload of ``df`` has an array, with the declared ones.
 
-    What is collected are places of the record types, with map keys replaced by ``*``: as many as the types have
-    fields, not as many as there are rows.
+    A place that only one payload has is no place where *others* have an array, so what is collected are keys that records share,
+    with keys of maps replaced by ``*``: as many as the record types have fields, also if keys are made per record.
     """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
+        seen: dict[str, list[int]] = {}
         for pdf in batches:
             for p in pdf["payload"]:
                 if (r := read_record(p, kind)) is not None:
-                    seen |= arrays_of(r, kind)
-        yield pd.DataFrame({"place": pd.Series(sorted(seen), dtype=object)})
+                    for place, array in places_of(r, kind).items():
+                        x = seen.setdefault(place, [0, 0])
+                        x[0] += 1
+                        x[1] += array
+        yield pd.DataFrame([(k, *v) for k, v in seen.items()], columns=["place", "n", "arrays"]).astype({"place": object, "n": "int64", "arrays": "int64"})
 
-    places = df.select("payload").where("payload is not null").mapInPandas(scan, "place string").distinct()
-    return DECLARED | {r[0] for r in places.collect()}
+    counted = df.select("payload").where("payload is not null").mapInPandas(scan, "place string, n long, arrays long")
+    places = counted.groupBy("place").agg(F.sum("n").alias("n"), F.sum("arrays").alias("arrays")).where("n > 1 and arrays > 0 and arrays < n")
+    return DECLARED | {r["place"] for r in places.select("place").collect()}
 
 
 def child_rows(df: DataFrame, key: str, kind: str) -> DataFrame:
@@ -197,7 +225,7 @@ def child_rows(df: DataFrame, key: str, kind: str) -> DataFrame:
 
     Each row of the table counts by itself, also repeated ones. An empty table gives an empty result.
     """
-    arrays = array_places(df, key, kind)
+    arrays = array_places(df, kind)
 
     def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = Automaton()
@@ -214,8 +242,28 @@ def flat_tables(advisories: DataFrame, packets: DataFrame) -> DataFrame:
     return child_rows(advisories, "rec_id", "advisory").unionByName(child_rows(packets, "packet_id", "packet"))
 
 
-def subtype(rows: DataFrame, field: str, keys: dict[str, str]) -> DataFrame:
-    """Typed table of the object variant of ``field`` that has the ``keys`` (name -> Spark type), with the supertype keys."""
-    schema = ", ".join(f"`{k}` {t}" for k, t in keys.items())
-    objects = rows.where((F.col("field") == field) & F.col("variant").startswith("object("))
-    return objects.select("kind", "rec_id", "parent_path", "path", "pos", F.from_json("value", schema).alias("v")).where(F.greatest(*[F.col(f"v.{k}").isNotNull() for k in keys], F.lit(False))).select("kind", "rec_id", "parent_path", "path", "pos", "v.*")
+def route(rows: DataFrame, folder: str) -> str:
+    """Writes child rows to one table per subtype under ``folder``: each row goes where the state of its node leads."""
+    rows.write.mode("overwrite").partitionBy("subtype").parquet(folder)
+    return folder
+
+
+def typed(spark: SparkSession, folder: str, subtype: str) -> DataFrame:
+    """The table of one subtype: supertype keys, parent link and typed columns (``value`` for scalars and shapes without a type)."""
+    rows = spark.read.schema(SCHEMA).parquet(folder).where(F.col("subtype") == subtype)
+    keys = ["kind", "rec_id", "field", "parent_path", "path", "pos"]
+    if subtype in SUBTYPES:
+        # Objects that are one subtype by some of their keys may hold more: what has no column stays readable in value.
+        columns = F.from_json("value", ", ".join(f"`{k}` {t}" for k, t in SUBTYPES[subtype].items()))
+        return rows.select(*keys, columns.alias("v"), "value").select(*keys, "v.*", "value")
+    kind = SCALARS.get(subtype, "string")
+    return rows.select(*keys, F.col("value").try_cast(kind).alias("value"))
+
+
+def supertype(spark: SparkSession, folder: str) -> DataFrame:
+    """``(kind, rec_id, parent_path, path, subtype)`` of all rows, as the union of the subtype tables."""
+    parts = [typed(spark, folder, name).select("kind", "rec_id", "parent_path", "path", F.lit(name).alias("subtype")) for name in (*SUBTYPES, *SCALARS, *OTHER)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigilake.functions import text as T
 from vigilake.operators import facts, issues, lookups, nested, rules, similarity, timestamps
 from vigilake.plans import sql as Q
-from vigilake.tables import table
+from vigilake.tables import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,15 +90,31 @@ def p5_children(s: SparkSession, d: str) -> DataFrame:
     return nested.flat_tables(table(s, d, "advisory_records"), table(s, d, "remediation_packets"))
 
 
+def routed(s: SparkSession, d: str) -> str:
+    return nested.route(p5_children(s, d), shared_folder(s, "subtypes"))
+
+
 @query("p5_found")
 def p5_found(s: SparkSession, d: str) -> DataFrame:
-    return p5_children(s, d).select("kind", "rec_id", "parent_path", "path")
+    return nested.supertype(s, routed(s, d)).select("kind", "rec_id", "parent_path", "path")
+
+
+@query("p5_subtypes")
+def p5_subtypes(s: SparkSession, d: str) -> DataFrame:
+    """``(kind, subtype, n_rows)``: how many rows each typed table has."""
+    return nested.supertype(s, routed(s, d)).groupBy("kind", "subtype").agg(F.count("*").alias("n_rows"))
+
+
+@query("p5_versions")
+def p5_versions(s: SparkSession, d: str) -> DataFrame:
+    """One of the typed tables: versions with their fix, below record or product."""
+    return nested.typed(s, routed(s, d), "version").select("rec_id", "parent_path", "path", "version", "fixed_in")
 
 
 @query("p5_variants")
 def p5_variants(s: SparkSession, d: str) -> DataFrame:
-    """``(kind, field, variant, n_rows, n_states)``: the subtype tables that the child rows route to."""
-    return p5_children(s, d).groupBy("kind", "field", "variant").agg(F.count("*").alias("n_rows"), F.countDistinct("state").alias("n_states"))
+    """``(kind, field, subtype, variant, n_rows, n_states)``: the shapes that each subtype takes in."""
+    return p5_children(s, d).groupBy("kind", "field", "subtype", "variant").agg(F.count("*").alias("n_rows"), F.countDistinct("state").alias("n_states"))
 
 
 # --- signals

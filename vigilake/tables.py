@@ -3,16 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-KNOWN = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "signals sources issues merge_decisions issue_records advisory_records remediation_packets"
-).split()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` (a file or a folder of files) under ``sf_dir``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -40,9 +34,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spillable(df: DataFrame) -> DataFrame:
-    """``df`` kept for reuse within one plan; recomputed from lineage if an executor is lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def width(spark: SparkSession) -> int:

@@ -80,17 +80,41 @@ def test_winners(spark):
 
 def test_survivors_and_quality(spark):
     got = {r.issue_id: r for r in S.survivors(records(spark), registry(spark)).collect()}
-    assert got["i"].title == "Recall of Acme X-1 pump" and got["i"].cves == "CVE-1" and got["none"].title is None and got["single"].n_records == 1
+    assert got["i"].title == "Recall of Acme X-1 pump" and got["i"].cves == ["CVE-1"] and got["i"].sources == ["gone", "low", "top"] and got["i"].titles == ["Recall of Acme X-1 pump"] and got["none"].title is None and got["single"].n_records == 1
     assert S.survivors(records(spark).limit(0), registry(spark)).count() == 0
 
 
+VOTES = "issue_id string, field string, value string, source string, yes long, no long"
+
+
 def test_em_separates_good_from_bad_sources(spark):
     rows = []
     for i in range(60):
-        rows += [(f"i{i}", "true", s, 1, 0) for s in ("good1", "good2", "good3")] + [(f"i{i}", "true", "bad", i % 2, (i + 1) % 2)]
-        rows += [(f"i{i}", "false", s, 0, 1) for s in ("good1", "good2", "good3")] + [(f"i{i}", "false", "bad", 1, 0)]
-    truth, who = S.quality(spark.createDataFrame(rows, "issue_id string, value string, source string, yes long, no long"))
+        rows += [(f"i{i}", "cves", "true", s, 1, 0) for s in ("good1", "good2", "good3")] + [(f"i{i}", "cves", "true", "bad", i % 2, (i + 1) % 2)]
+        rows += [(f"i{i}", "cves", "false", s, 0, 1) for s in ("good1", "good2", "good3")] + [(f"i{i}", "cves", "false", "bad", 1, 0)]
+    truth, who = S.quality(spark.createDataFrame(rows, VOTES))
     assert {(r.value, r.truth > 0.5) for r in truth.collect()} == {("true", True), ("false", False)}
     by = {r.source: r for r in who.collect()}
     assert by["good1"].specificity > 0.85 > 0.3 > by["bad"].specificity and by["good1"].sensitivity > by["bad"].sensitivity
-    assert S.quality(spark.createDataFrame([], "issue_id string, value string, source string, yes long, no long"))[0].where(F.lit(True)).count() == 0
+    assert S.quality(spark.createDataFrame([], VOTES))[0].where(F.lit(True)).count() == 0
+
+
+def test_soundness_learns_what_the_witnesses_are_worth():
+    bit = lambda *names: sum(1 << S.TESTS["title"].index(n) for n in names)
+    copy, strong = "prefix of a pattern", ("prefix of a commoner pattern", "prefix of a pattern")
+    counts = [("title", s, 0, 900) for s in "ab"] + [("title", s, bit(copy), 100) for s in "ab"] + [("title", "b", bit("marked", *strong), 80), ("title", "b", bit(*strong), 20), ("title", "b", bit("marked"), 5), ("title", "a", bit("garbled"), 40)]
+    chance, learned = S.soundness(counts)
+    assert max(chance["title", s, b] for s in "ab" for b in (0, bit(copy))) < 0.05 and chance["title", "a", bit("garbled")] < 0.05
+    assert min(chance["title", "b", b] for b in (bit(*strong), bit("marked"), bit("marked", *strong))) > 0.95
+    sensitivity, specificity = learned["title", "mark"]
+    assert 0.7 < sensitivity < 0.9 and specificity > 0.99 and learned["title", "longer copy"][1] < 0.93
+    assert S.soundness([]) == ({}, {})
+
+
+def test_endings_are_read_as_far_as_marks_go():
+    text = "The pump stopped and the ward"
+    assert X.before(text + " " + "[more] " * 300) == (text, ("[more] " * 300).strip())
+    assert X.before(text + "\n" + "***\n" * 300)[0] == text
+    assert X.closed("The pump <stron") == ("The pump", True) and X.closed("The pump.") == ("The pump.", False)
+    for t in ("A b. C d\n<p>E f</p> G.", "Ä 12 CQ-9532 x! Y z 日本。次", "", "one\rtwo  three <b>Four</b> five. Six"):
+        assert X.masks(t) == {m for p in X.pieces(t) if (m := X.mask(p))}

@@ -19,7 +19,9 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_sources(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.quality(survivors.votes(table(spark, d, "issue_records")))[1]
+    """``(field, source, sensitivity, specificity)`` of each source."""
+    records = table(spark, d, "issue_records")
+    return survivors.quality(survivors.votes(records, survivors.stated(records, table(spark, d, "sources"))))[1]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": lambda s, d: survivors.winners(table(s, d, "issue_records"), table(s, d, "sources")),
     "p6_records": lambda s, d: survivors.survivors(table(s, d, "issue_records"), table(s, d, "sources")),
     "p6_sources": p6_sources,
+    "p6_tests": lambda s, d: survivors.tests(table(s, d, "issue_records"), table(s, d, "sources")),
     "p7_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
     "p8_containers": lambda s, d: packing.containers(tokens.lengths(table(s, d, "documents"))),
     "p8_fill": p8_fill,

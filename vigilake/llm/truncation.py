@@ -29,24 +29,30 @@ from vigilake.tables import cut, width
 _MORE = r"continued|more|read more|continue reading|mehr|weiterlesen|weiter lesen|suite|lire la suite|la suite|más|leer más|sigue|mais|leia mais|ler mais|continua|続く|続き|続きを読む|truncated|snip|cut"
 _AFTER = re.compile(rf"(?:\s*(?:…|\.{{3,}}|\[\s*(?:\.\.\.|…|&hellip;|{_MORE})\s*(?:…|\.\.\.)?\]|[(（]\s*(?:\.\.\.|…|{_MORE})\s*(?:…|\.\.\.)?[)）]|(?<=[\s….])(?:{_MORE})(?:…|\.\.\.|»|>>|→)?(?=\s*$)|&hellip;|»|>>|→))+\s*$", re.I)
 _ENDMARK = re.compile(r"(?:\s*\n\s*(?:\*{3,}|#{3,}|-{3,}|={3,}|_{3,}|\[(?:EOF|end)\]|-+ ?end ?-+))+\s*$", re.I)
-_BLOCK = re.compile(r"[\r\n]+|</p>|</li>|<p>|<li>")
+_BORDERS = ("\r", "\n", "</p>", "</li>", "<p>", "<li>")
 _MARKUP = re.compile(r"(?:<[^<>\n]{0,400}|&#?\w{0,9}|!?\[[^\]\n]{0,200}\]\([^)\n]{0,400}|(?<!\w)\[[^\]\n]{0,120})$")
+_MARKUP_LENGTH = 700  # no match of the pattern is longer
 _TAG = re.compile(r"<[^<>]*>")
 _SPLIT = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[。！？])|[\r\n]+|</?(?:p|li|ul|ol|div|h\d|tr|td|table|br)\b[^<>]*>", re.I)
+_BLOCK_TAG = re.compile(r"</?(?:p|li|ul|ol|div|h\d|tr|td|table|br)\b[^<>]*>", re.I)
+_SENTENCE = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[。！？])|[\r\n]+")
 _WHOLE = re.compile(r"[.!?。！？][\"”’»)\]*_]*$")
 _SENTENCE_BEFORE = re.compile(r"(?:[^\W\d_]{4,}|\d)[\"”’»)]*\.\s+[\w\"“„«‘¿¡]|。.")
 #: A piece longer than any heading, list item or signature of the feeds is running text.
 LONG_PIECE = 160
 
 
-def mask(text: str) -> str:
-    """Pattern of a sentence or line: digits as 0, eight-digit codes and capitalised words as N, marks of ownership dropped."""
-    s = re.sub(r"[™®]", "", _TAG.sub("", text))
+def _masked(s: str) -> str:
+    s = s.replace("™", "").replace("®", "")
     s = re.sub(r"\b(?=[0-9a-f]*\d)[0-9a-f]{8}\b", "H", s)
     s = re.sub(r"\d+", "0", s)
     s = re.sub(r"(?<![0-9A-Za-zÀ-ÿ_])[A-ZÀ-Þ][0-9A-Za-zÀ-ÿ_-]*", "N", s)
-    s = re.sub(r"N(?:[ -]+N)+", "N", s)
-    return re.sub(r"\s+", " ", s).strip()
+    return re.sub(r"N(?:[ -]+N)+", "N", s)
+
+
+def mask(text: str) -> str:
+    """Pattern of a sentence or line: digits as 0, eight-digit codes and capitalised words as N, marks of ownership dropped."""
+    return " ".join(_masked(_TAG.sub("", text)).split())
 
 
 def pieces(text: str) -> list[str]:
@@ -54,28 +60,61 @@ def pieces(text: str) -> list[str]:
     return [s for x in _SPLIT.split(text) if x and (s := x.strip())]
 
 
+def masks(text: str) -> set[str]:
+    """The patterns of all sentences and lines of a text. Masks reach across no border, so the text is masked as a whole."""
+    plain = _TAG.sub("", _BLOCK_TAG.sub("\n", text) if "<" in text else text)
+    return {m for x in _SENTENCE.split(_masked(plain)) if x and (m := " ".join(x.split()))}
+
+
 def _trimmed(text: str, pattern: re.Pattern) -> tuple[str, str]:
-    """(text before what ``pattern`` takes off its end, what that is). Marks are short: only the end of a text is searched."""
-    at = max(0, len(text) - 400)
-    m = pattern.search(text[at:])
-    return (text[: at + m.start()].rstrip(), m.group().strip()) if m else (text, "")
+    """(text before what ``pattern`` takes off its end, what that is). The search starts near the end and goes back as far as the marks go."""
+    back = 400
+    while True:
+        at = max(0, len(text) - back)
+        m = pattern.search(text, at)
+        if not m:
+            return text, ""
+        if m.start() > at + 100 or not at:  # no single mark is longer
+            return text[: m.start()].rstrip(), m.group().strip()
+        back *= 4
 
 
 def _last_piece(body: str) -> str:
     """The last sentence or line: of the end of the text, or of all of it where that holds no border."""
-    near = pieces(body[-1500:])
-    return near[-1] if len(near) > 1 else (pieces(body) or [""])[-1]
+    back = 300
+    while True:
+        near = pieces(body[-back:])
+        if len(near) > 1 or back >= len(body):
+            return near[-1] if near else ""
+        back *= 4
+
+
+def _last_line(body: str) -> str:
+    """What follows the last border of lines, paragraphs and list items."""
+    return body[max(body.rfind(b) + len(b) if b in body else 0 for b in _BORDERS) :].strip()
+
+
+def before(text: str) -> tuple[str, str]:
+    """(text before end marks and what follows a break, the mark that follows a break)."""
+    body = _trimmed(text.rstrip(), _ENDMARK)[0]
+    # No mark that follows a break ends in a single full stop.
+    return (body, "") if body.endswith((".", "!", "?", "。", "！", "？")) and not body.endswith("...") else _trimmed(body, _AFTER)
+
+
+def closed(body: str) -> tuple[str, bool]:
+    """(``body`` without markup that is broken off at its end, whether there was any). What stands before it stops there as well, and is what a longer copy carries on."""
+    m = _MARKUP.search(body, max(0, len(body) - _MARKUP_LENGTH))
+    return (body[: m.start()].rstrip() or body, True) if m else (body, False)
 
 
 def ending(text: str) -> tuple[str, str, bool, str, bool]:
     """(text before end marks and what follows a break, last piece, within markup, the mark that follows a break, last piece is whole)."""
-    t = _trimmed(text.rstrip(), _ENDMARK)[0]
-    body, mark = _trimmed(t, _AFTER)
+    body, mark = before(text)
     low = body.lower()
-    markup = bool(_MARKUP.search(body, max(0, len(body) - 1000))) or low.rfind("<p>") > low.rfind("</p>")
-    last = _last_piece(body)
+    plain, broken = closed(body)
+    last = _last_piece(plain)
     whole = bool(_WHOLE.search(_TAG.sub("", last).rstrip())) or bool(re.search(r"</\w+>$", body))
-    return body, last, markup, mark, whole
+    return body, last, broken or low.rfind("<p>") > low.rfind("</p>"), mark, whole
 
 
 def scan(text: str) -> tuple[str, bool, bool, bool]:
@@ -85,8 +124,7 @@ def scan(text: str) -> tuple[str, bool, bool, bool]:
     a phrase that feeds always follow by dots is no prefix of itself.
     """
     body, last, markup, mark, whole = ending(text)
-    line = _BLOCK.split(body[-20_000:])[-1].strip()
-    plain = _TAG.sub("", line)
+    plain = _TAG.sub("", _last_line(body))
     running = bool(_SENTENCE_BEFORE.search(plain)) or len(plain) > LONG_PIECE or bool(mark)
     dots = bool(re.fullmatch(r"(?:\.{3,}|…{2,}|[\s.]+)", mark))
     more = bool(re.search(r"\w", mark))  # a mark in words is set where a text was cut, also after a full stop
@@ -100,8 +138,7 @@ def patterns(documents: DataFrame, text: str) -> DataFrame:
         for pdf in batches:
             seen: set[str] = set()
             for t in pdf["t"]:
-                body = ending(t)[0]
-                seen.update(m for p in pieces(body) if (m := mask(p)))
+                seen |= masks(closed(before(t)[0])[0])
             yield pd.DataFrame({"m": pd.Series(list(seen), dtype=object)})
 
     rows = documents.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
@@ -162,10 +199,10 @@ def strict_prefixes(values: DataFrame, column: str) -> DataFrame:
     return counts.where("longer > 0").withColumnRenamed("m", column)
 
 
-def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, longer, markup, running)`` of each text that lost its end: by a longer copy, within markup, within a line.
+def signs(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, longer, markup, running)`` of each text with a sign of a lost end: a longer copy of its last pattern, broken markup, a line that stops.
 
-    Null, empty and blank texts never come out; repeated rows each do.
+    ``longer`` counts where the last piece isn't a whole sentence, or stops within a number. Null, empty and blank texts never come out; repeated rows each do.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,19 +212,19 @@ def cut_texts(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     kind = dict(documents.dtypes)[key]
     ends = documents.select(key, F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(run, f"{key} {kind}, m string, markup boolean, whole boolean, running boolean")
-    longer = strict_prefixes(patterns(documents, text), "m").select("m", F.lit(True).alias("longer"))
-    joined = ends.join(longer, "m", "left").withColumn("longer", F.coalesce("longer", F.lit(False)))
-    lost = F.col("markup") | F.col("running") | (F.col("longer") & (~F.col("whole") | F.col("m").rlike(r"(^|[^0.])0\.(0\.)?$")))
-    return joined.where(lost).select(key, "longer", "markup", "running")
+    longer = strict_prefixes(patterns(documents, text), "m").select("m", F.lit(True).alias("carried"))
+    joined = ends.join(longer, "m", "left").withColumn("carried", F.coalesce("carried", F.lit(False)))
+    stops = F.col("carried") & (~F.col("whole") | F.col("m").rlike(r"(^|[^0.])0\.(0\.)?$") | F.col("markup") | F.col("running"))
+    return joined.select(key, stops.alias("longer"), "markup", "running").where("longer or markup or running")
 
 
 def found(documents: DataFrame) -> DataFrame:
     """``(doc_id)`` of each document whose text lacks its end."""
-    return cut_texts(documents).select("doc_id")
+    return signs(documents).select("doc_id")
 
 
 def rates(documents: DataFrame) -> DataFrame:
     """``(source, n_docs, n_cut, share)``: how often each source truncates, over all its documents with a text."""
-    marked = documents.select("doc_id", "source", "text").join(cut_texts(documents).select("doc_id").distinct().withColumn("is_cut", F.lit(1)), "doc_id", "left")
+    marked = documents.select("doc_id", "source", "text").join(signs(documents).select("doc_id").distinct().withColumn("is_cut", F.lit(1)), "doc_id", "left")
     some = marked.where(F.col("text").rlike(r"\S"))
     return some.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(F.coalesce("is_cut", F.lit(0))).alias("n_cut")).withColumn("share", F.round(F.col("n_cut") / F.col("n_docs"), 6))

@@ -53,6 +53,19 @@ def test_undeclared_zone_is_estimated_from_ingestion(spark):
     assert got == {i: us(2024, 6, i, 2) for i in range(1, 20)}
 
 
+def test_zone_is_estimated_from_stated_offsets_and_other_deliveries(spark):
+    sources = spark.createDataFrame([("a", "Europe/Berlin", "dmy"), ("b", "UTC", "dmy"), ("c", "Europe/London", "dmy"), ("new", None, "dmy"), (None, None, None)], SOURCES)
+    rows = [(1, "new", "g1", "2024-07-01T10:00:00+02:00", None), (2, "new", "g2", "1 January 2024 10:00 CET", None), (3, "new", "g3", "2024-03-30 12:00", None), (4, "new", "g4", "2024-04-02 12:00", "2020-01-01T00:00:00Z"), (5, "new", None, None, None)]
+    rows += [(10, "c", "h1", "2024-07-01 10:00:05", None), (11, "c", "h1", "2024-07-01T09:00:05Z", None), (12, "c", "h2", "2024-01-01 10:00", None), (13, "c", "h2", "2024-01-01T10:00:00Z", None)]
+    rows += [(20 + i, "b", "same", "2024-07-01 10:00" if i % 2 else "2024-07-01T10:00:00Z", None) for i in range(40)]
+    signals = spark.createDataFrame(rows, "row_id long, source string, guid string, published_date string, fetched_at string").selectExpr("*", "1 as zone", "2 as rank")
+    got = {r.row_id: r.utc_micros for r in T.found(signals, sources).where("field = 'published_date'").collect()}
+    assert got[3] == us(2024, 3, 30, 11) and got[4] == us(2024, 4, 2, 10)
+    by = {r.source: r for r in T.agreement(signals, sources).collect()}
+    assert by["c"].estimated == "Europe/London" and by["new"].estimated == "Europe/Berlin" and by["a"].estimated is None and by["b"].estimated == "UTC"
+    assert T.agreement(signals.limit(0), sources).count() == 4
+
+
 @pytest.mark.parametrize("value", ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05.1Z"])
 def test_canonical_pattern(spark, value):
     assert spark.createDataFrame([(value,)], "v string").where(F.col("v").rlike(T.CANONICAL)).count() == 1

@@ -5,18 +5,17 @@ has, the tail is split once, and ``try_make_timestamp`` resolves the wall clock
 zone rules give the documented results for the two odd hours of a year: a wall clock time that occurs
 twice is the earlier instant, one that is skipped is read with the offset before the change.
 
-Zones of values that state none come from an *offset history* per source. An offset history is a zone
-of the IANA database (a list of offsets with their dates of change). ``zone_history`` estimates it: each
-candidate zone is scored by the rows of the source whose local time, read in that zone, falls after the
-time of ingestion (an item cannot be published after it was fetched), and the candidate with the fewest
-violations, then the smallest median delay, wins. A zone declared in the registry takes precedence over
+Zones of values that state none come from an *offset history* per source: a zone of the IANA database (a list of offsets with their dates of change).
+``zone_history`` estimates it by alignment. Whatever puts an instant beside a local time of the source is an observation: a value of the source that states its own offset or
+zone, or another delivery of the same item whose instant is known; and a local time near its ingestion must not lie after it (an item cannot be published after it was fetched). Each distinct offset history of the IANA
+database is tried on them, and the one that fewest observations violate wins; among equals the least delay of what was fetched within a day of publication. A zone declared in the registry takes precedence over
 the estimate, as the registry is authoritative where it has an entry.
 """
 
 from __future__ import annotations
 
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.tables import small
@@ -166,29 +165,69 @@ def instant(value: Column, zone: Column, date_order: Column, home: Column | None
     return let(F.when(F.length(value) < 200, clean(value)), parse)
 
 
-def zone_history(df: DataFrame, key: str, local_micros: str, ingested_micros: str, zones: list[str]) -> DataFrame:
-    """Estimated offset history per ``key``: ``(key, zone, violations, n_rows, median_delay_s)``, one row per key.
+_HOUR = 3_600_000_000
+#: Zones lie between 12 hours before and 14 after UTC, so only a local time this near to an ingestion can tell one zone from another.
+_REACH = 38 * _HOUR
 
-    ``local_micros`` is the wall clock of a value read as if it were UTC, ``ingested_micros`` the instant of
-    ingestion. Each zone of ``zones`` is tried on every row (the zones are a fixed list, so rows grow by a
-    constant); partial aggregation leaves one row per key and zone before the shuffle. The zone with the fewest
-    rows published after ingestion wins, then the smallest median delay, then the name. Keys without a usable
-    row do not appear; null keys form a group of their own.
+
+def offset_histories(spark: SparkSession, first: list[str], since: int = 2000, until: int = 2036) -> list[str]:
+    """One zone of each distinct offset history of the IANA database between the two years: the zones ``first`` if they are of it, else the first by name."""
+    names = [z for z in _zones() if "/" in z and not z.startswith(("Etc/", "SystemV/")) or z == "UTC"]
+    days = spark.range((until - since) * 365 // 5).select(F.expr(f"timestamp'{since}-01-01 00:00:00' + make_interval(0, 0, 0, cast(id * 5 as int))").alias("t"))
+    offsets = days.select("t", F.explode(F.array(*map(F.lit, names))).alias("zone")).select("zone", F.xxhash64("t", F.unix_micros(F.from_utc_timestamp("t", F.col("zone"))) - F.unix_micros("t")).alias("h"))
+    # The names are some 600 and the histories fewer, whatever the data.
+    known = {r["zone"]: r["h"] for r in offsets.groupBy("zone").agg(F.bit_xor("h").alias("h")).collect()}
+    best: dict[int, str] = {}
+    for z in [z for z in first if z in known] + sorted(known):
+        best.setdefault(known[z], z)
+    return [z for z in first if z in best.values()] + sorted(z for z in best.values() if z not in first)
+
+
+def observations(rows: DataFrame) -> DataFrame:
+    """``(source, at, minutes, n)``: at the hour ``at`` (micros) the clock of ``source`` was ``minutes`` ahead of UTC, seen ``n`` times.
+
+    From values that state an offset, zone or unambiguous abbreviation (UTC and GMT, which publishers anywhere convert to, aside), and, if there is a ``guid``, from local times whose item came with an instant as well. An item's instants
+    are only its first and last, so a guid that many rows share makes no pairs. Null sources and guids say nothing.
     """
-    wall = F.timestamp_micros(F.col("w"))
-    tried = df.where(F.col(local_micros).isNotNull() & F.col(ingested_micros).isNotNull()).select(
-        F.col(key).alias(key), F.col(local_micros).alias("w"), F.col(ingested_micros).alias("i"), F.explode(F.array(*map(F.lit, zones))).alias("zone")
-    )
-    delay = (F.col("i") - F.unix_micros(F.to_utc_timestamp(wall, F.col("zone")))) / 1e6
-    scored = tried.groupBy(key, "zone").agg(
-        F.sum(F.when(delay < 0, 1).otherwise(0)).alias("violations"), F.count("*").alias("n_rows"), F.percentile_approx(delay, 0.5, 1000).alias("median_delay_s")
-    )
-    best = F.min_by(F.struct("zone", "violations", "n_rows", "median_delay_s"), F.struct("violations", F.abs("median_delay_s"), "zone"))
-    return scored.groupBy(key).agg(best.alias("b")).select(key, "b.*")
+    bare = F.regexp_replace("published_date", _STATED_TAIL, "")
+    v = clean(F.col("published_date"))
+    unclear = "|".join(sorted({name for _, name in BY_COUNTRY}))
+    plain, minute = F.lit("UTC"), 60_000_000
+    read = rows.where("source is not null and published_date is not null").withColumn("published_date", v).withColumn("states", F.col("published_date").rlike(_STATES_ZONE))
+    read = read.select("*", instant(F.col("published_date"), plain, F.col("date_order")).alias("t"), F.when(F.col("states") & ~F.col("published_date").rlike(r"(?i)(?:\b(?:" + unclear + r")|[0-9 ]z|\butc|\bgmt)$"), instant(bare, plain, F.col("date_order"))).alias("wall"), F.col("published_date").contains(":").alias("timed"))
+    own = read.where("states and timed").where(F.col("published_date").rlike(r"(?i)[a-z]/[a-z]|\bwet$") | (F.floor(F.col("wall") / minute) != F.floor(F.col("t") / minute))).select("source", "t", "wall")
+    pairs = own
+    if "guid" in rows.columns:
+        known = read.where("states and guid is not null").groupBy("source", "guid").agg(F.array_distinct(F.array(F.min("t"), F.max("t"))).alias("ts"))
+        local = read.where("not states and timed and guid is not null").select("source", "guid", F.col("t").alias("wall"))
+        pairs = own.unionByName(local.join(known, ["source", "guid"]).select("source", F.explode("ts").alias("t"), "wall"))
+    ahead = F.floor(F.col("wall") / minute) - F.floor(F.col("t") / minute)
+    seen = pairs.select("source", (F.floor(F.col("t") / _HOUR) * _HOUR).alias("at"), ahead.alias("minutes")).where("minutes % 15 = 0 and minutes between -720 and 840")
+    return seen.groupBy("source", "at", "minutes").agg(F.count("*").alias("n"))
+
+
+def zone_history(observed: DataFrame, arrivals: DataFrame, zones: list[str]) -> DataFrame:
+    """Estimated offset history per source: ``(source, zone, violations, n_rows, median_delay_s)``, one row per source with an observation or arrival.
+
+    ``observed`` as ``observations`` gives it; ``arrivals`` has ``(source, w, i)``, a local time read as if it were UTC and the instant of ingestion, in microseconds. Each of ``zones``, in order of preference, is
+    tried on every observation (a fixed list, so rows grow by a constant; observations are counts by hour already) and on the arrivals near enough to tell. The zone with the fewest
+    violations wins, then the least median delay of what arrived within a day, then the earlier in ``zones``. Null sources are one source.
+    """
+    every = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(z).alias("zone")) for k, z in enumerate(zones)])
+    near = arrivals.where(F.abs(F.col("i") - F.col("w")) <= _REACH).select("source", "w", "i", F.explode(every).alias("z")).select("source", "w", "i", "z.*")
+    delay = (F.col("i") - F.unix_micros(F.to_utc_timestamp(F.timestamp_micros("w"), F.col("zone")))) / 1e6
+    late = near.select("source", "rank", "zone", F.when(delay < 0, 1).otherwise(0).alias("bad"), F.lit(1).alias("n"), F.when((delay >= 0) & (delay < 86_400), delay).alias("delay"))
+    at = observed.select("source", "at", "minutes", "n", F.explode(every).alias("z")).select("source", "at", "minutes", "n", "z.*")
+    ahead = (F.unix_micros(F.from_utc_timestamp(F.timestamp_micros("at"), F.col("zone"))) - F.col("at")) / 60_000_000
+    wrong = at.select("source", "rank", "zone", F.when(ahead != F.col("minutes"), F.col("n")).otherwise(0).alias("bad"), "n", F.lit(None).cast("double").alias("delay"))
+    scored = late.unionByName(wrong).groupBy("source", "rank", "zone").agg(F.sum("bad").alias("violations"), F.sum("n").alias("n_rows"), F.percentile_approx("delay", 0.5, 1000).alias("median_delay_s"))
+    best = F.min_by(F.struct("zone", "violations", "n_rows", "median_delay_s"), F.struct("violations", F.coalesce("median_delay_s", F.lit(1e9)).alias("d"), "rank"))
+    return scored.groupBy("source").agg(best.alias("b")).select("source", "b.*")
 
 
 FIELDS = ("published_date", "fetched_at")
 _STATES_ZONE = r"(?i)(?:[+-]\d\d:?\d\d|z|\]|/[a-z_]+|(?:utc|gmt)[+-][\d:]+|[a-z]{3,4}|[a-z]{3,4} \d{4})$|^\d{9,}"
+_STATED_TAIL = r"(?i) ?(?:(?:(?:utc|gmt)?[+-]\d\d?(?::?\d\d)?|[a-z]{3,5}|[a-z]+(?:/[a-z0-9_+-]+){1,2}) ?)?(?:\[[a-z0-9_/+-]+\])? ?(?:\([a-z ]*\))?$"
 
 
 def with_zones(signals: DataFrame, sources: DataFrame) -> DataFrame:
@@ -199,19 +238,40 @@ def with_zones(signals: DataFrame, sources: DataFrame) -> DataFrame:
     """
     registry = sources.select(F.col("source_id").alias("source"), F.col("feed_tz").alias("declared"), "date_order")
     registry = registry.where("source is not null").dropDuplicates(["source"])
-    rows = signals.select("row_id", "source", *FIELDS).join(F.broadcast(registry) if small(sources) else registry, "source", "left")
-    estimate = estimated_zones(rows.where("declared is null"), sources)
+    rows = signals.select("row_id", "source", "guid", *FIELDS) if "guid" in signals.columns else signals.select("row_id", "source", *FIELDS)
+    rows = rows.join(F.broadcast(registry) if small(sources) else registry, "source", "left")
+    # Only sources that the registry can't tell are estimated; mostly there are none.
+    if rows.where("declared is null and source is not null").select("source").isEmpty():
+        return rows.select("row_id", "source", *FIELDS, F.coalesce("declared", F.lit("UTC")).alias("zone"), "date_order")
+    estimate = estimated_zones(rows.where("declared is null"), sources).select("source", "estimated")
     rows = rows.join(F.broadcast(estimate) if small(sources) else estimate, "source", "left")
     return rows.select("row_id", "source", *FIELDS, F.coalesce("declared", "estimated", F.lit("UTC")).alias("zone"), "date_order")
 
 
-def estimated_zones(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """``(source, estimated, violations, n_rows, median_delay_s)`` from rows with ``date_order`` beside the two fields."""
-    # The registry's distinct zones: at most the 600 or so zones of the IANA database, whatever the number of sources.
-    zones = sorted(r[0] for r in sources.select("feed_tz").where("feed_tz is not null").distinct().collect())
+def arrivals(rows: DataFrame) -> DataFrame:
+    """``(source, w, i)``: local time and ingestion of each value of ``published_date`` that states no zone."""
     local = rows.where(F.col("published_date").isNotNull() & ~clean(F.col("published_date")).rlike(_STATES_ZONE))
     walls = local.select("source", instant(F.col("published_date"), F.lit("UTC"), F.col("date_order")).alias("w"), instant(F.col("fetched_at"), F.lit("UTC"), F.col("date_order")).alias("i"))
-    return zone_history(walls, "source", "w", "i", zones or ["UTC"]).withColumnRenamed("zone", "estimated")
+    return walls.where("w is not null and i is not null")
+
+
+def estimated_zones(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``(source, estimated, violations, n_rows, median_delay_s)`` from rows with ``date_order`` beside the two fields."""
+    # The registry's distinct zones, to name a history by: at most the 600 or so zones of the IANA database, whatever the number of sources.
+    registered = sorted(r[0] for r in sources.select("feed_tz").where("feed_tz is not null").distinct().collect())
+    zones = offset_histories(rows.sparkSession, registered)
+    return zone_history(observations(rows), arrivals(rows), zones).withColumnRenamed("zone", "estimated")
+
+
+def agreement(signals: DataFrame, sources: DataFrame) -> DataFrame:
+    """``(source, declared, estimated, violations, n_rows, n_local, n_same)``: the estimated history of each source beside the registered one, and for how many local times both give the same instant."""
+    registry = sources.select(F.col("source_id").alias("source"), F.col("feed_tz").alias("declared"), "date_order").where("source is not null").dropDuplicates(["source"])
+    rows = signals.join(F.broadcast(registry) if small(sources) else registry, "source", "left")
+    both = registry.join(estimated_zones(rows, sources), "source", "left").select("source", "declared", "estimated", "violations", "n_rows")
+    wall = F.timestamp_micros(F.col("w"))
+    same = F.to_utc_timestamp(wall, F.coalesce("declared", F.lit("UTC"))) == F.to_utc_timestamp(wall, F.coalesce("estimated", F.lit("UTC")))
+    read = arrivals(rows).join(F.broadcast(both) if small(sources) else both, "source").groupBy("source").agg(F.count("*").alias("n_local"), F.sum(same.cast("long")).alias("n_same"))
+    return both.join(read, "source", "left").select("source", "declared", "estimated", "violations", "n_rows", F.coalesce("n_local", F.lit(0)).alias("n_local"), F.coalesce("n_same", F.lit(0)).alias("n_same"))
 
 
 def normalise(signals: DataFrame, sources: DataFrame) -> DataFrame:

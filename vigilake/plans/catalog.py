@@ -78,11 +78,8 @@ def p1_found(s: SparkSession, d: str) -> DataFrame:
 
 @query("p1_zones")
 def p1_zones(s: SparkSession, d: str) -> DataFrame:
-    """``(source, declared, estimated, violations, n_rows)``: the estimated offset history of each source beside the registered one."""
-    sources = table(s, d, "sources")
-    registry = sources.select(F.col("source_id").alias("source"), F.col("feed_tz").alias("declared"), "date_order").dropDuplicates(["source"])
-    estimate = timestamps.estimated_zones(signals_of(s, d).join(registry, "source", "left"), sources)
-    return registry.join(estimate, "source", "left").select("source", "declared", "estimated", "violations", "n_rows")
+    """The estimated offset history of each source beside the registered one."""
+    return timestamps.agreement(signals_of(s, d), table(s, d, "sources"))
 
 
 @query("p5_children")

@@ -75,8 +75,9 @@ def stix_pattern(kind: Column, value: Column) -> Column:
 
 
 def source_facts(records: DataFrame) -> DataFrame:
-    """Distinct ``(issue_id, source, kind, fact)`` of what each source's texts say: severities, CVEs, patches, exploits."""
-    hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
+    """Distinct ``(issue_id, source, kind, fact)`` of what each source's texts (title, summary and, if there is one, guid) say: severities, CVEs, patches, exploits."""
+    parts = [c for c in ("title", "summary", "guid") if c in records.columns]
+    hay = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in parts])
     severity = F.transform(F.regexp_extract_all(F.col("t"), F.lit(SEVERITY), F.lit(1)), lambda s: F.when(F.lower(s) == "moderate", "medium").otherwise(F.lower(s)))
     cves = F.transform(F.regexp_extract_all(F.col("t"), F.lit(r"(?i)\bCVE-\d{4}-\d{4,7}\b"), F.lit(0)), F.upper)
     said = F.array_compact(F.array(*[F.when(F.col("t").rlike(p), F.struct(F.lit("exploit" if k in ("actively_exploited", "poc_available") else "patch").alias("kind"), F.lit(k).alias("fact"))) for k, p in STATEMENTS.items()]))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilake.functions import text as T
+from vigilake.tables import cut, width
 
 
 def first_match(issues: DataFrame, dimension: DataFrame, key: str = "cve") -> DataFrame:
@@ -76,12 +77,20 @@ def richest(rows: DataFrame, group: str, text: str, key: str) -> DataFrame:
 
 
 def percentiles(rows: DataFrame, column: str, shares: list[float]) -> DataFrame:
-    """Value at rank ``int(n * share)`` of the sorted column (from 0), one row per share.
+    """``(share, value)``: value at rank ``int(n * share)`` of the sorted column (from 0), one row per share; no row if there is no value.
 
-    Values are counted first, so what is ordered is one row per distinct value, and running totals find the ranks.
+    Values are counted and range partitioned; the partitions' totals (one row each on the driver) tell which of them hold a rank, and only those are ordered further.
     """
+    spark = rows.sparkSession
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("value"))).withColumn("total", F.sum("n").over(Window.partitionBy()))  # windows over the distinct values only
-    asked = upto.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    rank = F.least(F.floor(F.col("total") * F.col("share")), F.col("total") - 1)
-    return asked.where((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)).select("share", "value")
+    placed = cut(counts.repartitionByRange(width(spark), "value").withColumn("part", F.spark_partition_id()))
+    totals = sorted(tuple(r) for r in placed.groupBy("part").agg(F.sum("n")).collect())
+    total, asked, before = sum(n for _, n in totals), [], 0
+    for part, n in totals:
+        ranks = [(s, min(int(total * s), total - 1)) for s in shares]
+        asked += [(float(s), part, r - before) for s, r in ranks if before <= r < before + n]
+        before += n
+    wanted = F.array(*[F.struct(F.lit(s).alias("share"), F.lit(p).alias("p"), F.lit(r).alias("rank")) for s, p, r in asked]) if asked else F.array().cast("array<struct<share: double, p: int, rank: int>>")
+    upto = placed.where(F.col("part").isin(*{p for _, p, _ in asked})).withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("value")))
+    each = upto.withColumn("a", F.explode(F.filter(wanted, lambda x: x.p == F.col("part"))))
+    return each.where((F.col("upto") > F.col("a.rank")) & (F.col("upto") - F.col("n") <= F.col("a.rank"))).select("a.share", "value")

@@ -8,7 +8,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from email.utils import format_datetime
 from pathlib import Path
 from xml.sax.saxutils import escape
 
@@ -65,13 +64,19 @@ def bundle(indicators: DataFrame) -> DataFrame:
 
 
 def tasks(packets: DataFrame) -> DataFrame:
-    """``(packet_id, task_id, role, task)`` from child rows of ``tasks_by_role``: numbered in the order of their places."""
+    """``(packet_id, task_id, role, task)`` from child rows of ``tasks_by_role``: per packet the roles by name, their tasks in the order of the array.
+
+    A packet's tasks are numbered by a window over the packet; rows of one ``rec_id`` are one packet.
+    """
     from pyspark.sql import Window
 
-    rows = packets.where((F.col("field") == "tasks_by_role") & (F.col("variant") != "object(role,tasks)") & ~F.col("path").contains(".depends_on"))
+    rows = packets.where((F.col("field") == "tasks_by_role") & F.col("subtype").isin("text", "task", "object") & ~F.col("path").contains(".depends_on"))
     role = F.regexp_extract("path", r"^tasks_by_role\.([^\[]+)\[", 1)
-    task = F.when(F.col("variant") == "text", F.col("value")).otherwise(F.get_json_object("value", "$.task"))
-    number = F.row_number().over(Window.partitionBy("rec_id").orderBy("path"))
+    task = F.when(F.col("subtype") == "text", F.col("value")).otherwise(F.get_json_object("value", "$.task"))
+    # Numbers in a path are compared as numbers: [10] comes after [2].
+    place = F.regexp_replace("path", r"\[(\d+)\]", "[000000000$1]")
+    place = F.regexp_replace(place, r"\[0*(\d{9})\]", "[$1]")
+    number = F.row_number().over(Window.partitionBy("rec_id").orderBy(place, "value"))
     return rows.select(F.col("rec_id").alias("packet_id"), F.format_string("%s-%03d", F.col("rec_id").cast("string"), number).alias("task_id"), role.alias("role"), task.alias("task"))
 
 
@@ -83,5 +88,14 @@ def memoised(rows: DataFrame, cache: DataFrame, key: list[str], call: Callable[[
     return named.join(cache.unionByName(fresh), "hash", "left"), fresh
 
 
-def http_date(stamp) -> str:  # noqa: ANN001
-    return format_datetime(stamp, usegmt=True)
+def detection_rules(indicators: DataFrame) -> DataFrame:
+    """``(kind, rule)``: for each address a block-list line, for each domain a rule of intrusion detection, numbered by the digest of its value."""
+    number = (F.conv(F.substring(F.md5("value"), 1, 5), 16, 10).cast("long") + 1_000_000).cast("string")
+    block = indicators.where("type = 'ip'").select(F.lit("acl").alias("kind"), F.concat(F.lit("deny ip host "), "value", F.lit(" any")).alias("rule"))
+    query = indicators.where("type = 'domain'").select(F.lit("ids").alias("kind"), F.concat(F.lit('alert dns any any -> any any (msg:"indicator '), "value", F.lit('"; dns.query; content:"'), "value", F.lit('"; sid:'), number, F.lit("; rev:1;)")).alias("rule"))
+    return block.unionByName(query)
+
+
+def indicator_lines(indicators: DataFrame, folder: str) -> None:
+    """Indicators as CSV files with a header, written by the executors."""
+    indicators.select("type", "value").orderBy("type", "value").write.mode("overwrite").option("header", True).csv(folder)

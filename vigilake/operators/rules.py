@@ -59,6 +59,14 @@ THREATS = r"\bbackdoor\b|\btrojan\b|\bransomware campaign\b|\bapt\d+\b|\bthreat
 STRONG_DEVICE = r"infusion pump|ventilator|defibrillator|pacemaker|implantable|patient monitor|pulse oximeter|surgical robot|insulin pump|blood gas analyzer"
 
 
+# Makers of medical devices.
+VENDORS = [
+    "ge healthcare", "philips", "siemens healthineers", "bd", "baxter", "medtronic", "stryker", "abbott", "boston scientific", "draeger", "hillrom", "welch allyn", "zoll", "mindray", "nihon kohden", "b. braun", "spacelabs",
+    "masimo", "natus", "getinge", "olympus medical", "fujifilm medical", "carestream", "hologic", "beckman coulter", "biomerieux", "biomérieux", "roche diagnostics", "cerner", "epic systems", "contec health", "whill",
+]
+VENDOR_WORDS = r"(?<![\w])(?:" + "|".join(v.replace(".", r"\.") for v in VENDORS) + r")(?![\w])"
+
+
 def ilike(c: Column, pattern: str) -> Column:
     return c.rlike("(?i)" + pattern)
 
@@ -84,7 +92,7 @@ def _reasons(hay: Column, rules: list[tuple[str, int, str]]) -> list[Column]:
 
 
 def scored(issues: DataFrame, version: int = 2) -> DataFrame:
-    """``issues`` with ``score``, ``priority``, ``actions`` and ``why`` (reasons in order, joined by ``;``).
+    """``issues`` with ``score``, ``priority``, ``actions`` and ``why`` (reasons in order and the priority they lead to, joined by ``;``).
 
     Needs ``issue_id, issue_type, title, summary, sources, links`` and for version 2 ``weight`` (of the best source, null: none known),
     ``tier``, ``medical`` and ``fda_risk_class``. Nulls count as empty.
@@ -111,8 +119,9 @@ def scored(issues: DataFrame, version: int = 2) -> DataFrame:
 
     r = let(hay, all_reasons)
     out = issues.withColumn("__r", let(r, lambda x: F.struct(F.aggregate(x, F.lit(0), lambda a, y: a + y.points).alias("score"), F.array_join(F.transform(x, lambda y: y.label), ";").alias("why"))))
-    out = out.select(*issues.columns, F.col("__r.score").alias("score"), F.col("__r.why").alias("why"))
-    return out.withColumn("priority", priority(F.col("score"))).withColumn("actions", actions(F.col("priority")))
+    out = out.select(*issues.columns, F.col("__r.score").alias("score"), F.col("__r.why").alias("why")).withColumn("priority", priority(F.col("score")))
+    closing = F.concat(F.lit("priority: "), F.col("priority"), F.lit(" (score="), F.col("score").cast("string"), F.lit(")"))
+    return out.withColumn("why", F.concat_ws(";", "why", closing)).withColumn("actions", actions(F.col("priority")))
 
 
 def rescored(rows: DataFrame) -> DataFrame:
@@ -152,14 +161,23 @@ def false_positive(hay: Column) -> Column:
 
 
 def categorised(issues: DataFrame) -> DataFrame:
-    """``issue_id, relevant, category``. Needs ``title, summary, medical`` (any source is medical) and ``fda_risk_class``."""
-    hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
+    """``issue_id, relevant, category``. Needs ``title, summary, medical`` (any source is medical) and ``fda_risk_class``; ``vendor`` and ``sources`` are used if there.
+
+    A maker of medical devices named in title, summary or vendor makes an issue relevant and a device; a maker only within a longer name of the vendor does so
+    for issues that a KEV source brought, after the keywords.
+    """
+    vendor = F.coalesce("vendor", F.lit("")) if "vendor" in issues.columns else F.lit("")
+    kev = F.lower(F.array_join(F.coalesce("sources", F.array().cast("array<string>")), " ")).contains("kev") if "sources" in issues.columns else F.lit(False)
+    hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), vendor)
     medical = F.coalesce("medical", F.lit(False))
 
     def of(t: Column) -> Column:
-        plain = F.when(ilike(t, SYSTEM_WORDS), "healthcare_it").when(ilike(t, SITE_WORDS), "healthcare_infrastructure").otherwise("healthcare_adjacent")
-        category = F.when(false_positive(t), plain).when(medical | F.col("fda_risk_class").isNotNull() | ilike(t, DEVICE_WORDS), "medical_device").otherwise(plain)
-        relevant = medical | ilike(t, RELEVANT_WORDS)
+        maker = kev & F.greatest(*[F.lower(vendor).contains(v) for v in VENDORS])
+        words = F.when(ilike(t, SYSTEM_WORDS), "healthcare_it").when(ilike(t, SITE_WORDS), "healthcare_infrastructure")
+        named = ilike(t, VENDOR_WORDS)
+        device = medical | named | F.col("fda_risk_class").isNotNull() | ilike(t, DEVICE_WORDS)
+        category = F.when(false_positive(t), F.coalesce(words, F.lit("healthcare_adjacent"))).when(device, "medical_device").otherwise(F.coalesce(words, F.when(maker, "medical_device"), F.lit("healthcare_adjacent")))
+        relevant = medical | ilike(t, RELEVANT_WORDS) | named | maker
         return F.struct(relevant.alias("relevant"), F.when(relevant, category).otherwise("not_healthcare").alias("category"))
 
     return issues.select("issue_id", let(hay, of).alias("c")).select("issue_id", "c.relevant", "c.category")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +65,3 @@ def merge_candidates(issues: DataFrame, threshold: float = 0.6) -> DataFrame:
     pairs = keys.alias("x").join(keys.alias("y"), "key").where(F.col("x.issue_id") < F.col("y.issue_id")).select(F.col("x.issue_id").alias("id_a"), F.col("y.issue_id").alias("id_b")).distinct()
     joined = pairs.join(rows.alias("a"), F.col("id_a") == F.col("a.issue_id")).join(rows.alias("b"), F.col("id_b") == F.col("b.issue_id"))
     return joined.select("id_a", "id_b", composite("a", "b").alias("score")).where(F.col("score") >= threshold)
-
-
-def candidate_cap(n: int, fraction: float = 0.05) -> int:
-    """The most candidates that a report lists: a share of all pairs, at least one per issue."""
-    return max(n - 1, math.floor(fraction * n * (n - 1) / 2), 1)

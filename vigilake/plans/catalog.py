@@ -348,7 +348,11 @@ def indicators(s: SparkSession, d: str) -> DataFrame:
     return facts.indicators(rows, "row_id", F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("title", "summary", "guid", "link")]))
 
 
-@query("stix_patterns")
+_NAMES = {"ip": "ipv4-addr:value", "domain": "domain-name:value", "url": "url:value", "cve": "vulnerability:name", "hash_sha256": "file:hashes.'SHA-256'", "hash_sha1": "file:hashes.'SHA-1'", "hash_md5": "file:hashes.'MD5'"}
+_PATTERN = "CASE type " + " ".join(f"WHEN '{k}' THEN {Q.q('[' + n + ' = ' + chr(39))} || replace(value, chr(39), chr(92) || chr(39)) || chr(39) || ']'" for k, n in _NAMES.items()) + " END"
+
+
+@query("stix_patterns", f"SELECT DISTINCT type, value, {_PATTERN} AS pattern FROM ({ORACLE['indicators']})")
 def stix_patterns(s: SparkSession, d: str) -> DataFrame:
     return indicators(s, d).select("type", "value").distinct().select("type", "value", facts.stix_pattern(F.col("type"), F.col("value")).alias("pattern"))
 

@@ -110,8 +110,23 @@ def stream_new_items(s: SparkSession, d: str) -> DataFrame:
     return streams.finished(streams.once(rows, ["source", "guid"]))
 
 
-@query("task_rows")
+@query(
+    "task_rows",
+    """WITH p AS (SELECT packet_id, payload FROM remediation_packets WHERE json_valid(payload) AND json_type(payload, '$.tasks_by_role') = 'OBJECT'),
+    r AS (SELECT packet_id, payload, unnest(json_keys(payload, '$.tasks_by_role')) AS role FROM p), a AS (SELECT packet_id, role, json_extract(payload, '$.tasks_by_role."' || role || '"') AS v FROM r),
+    e AS (SELECT packet_id, role, CASE json_type(v) WHEN 'ARRAY' THEN unnest(v::JSON[]) ELSE v END AS x, CASE json_type(v) WHEN 'ARRAY' THEN unnest(range(json_array_length(v)::BIGINT)) ELSE 0 END AS pos FROM a),
+    k AS (SELECT packet_id, role, pos, x, CASE json_type(x) WHEN 'VARCHAR' THEN x ->> '$' ELSE x ->> '$.task' END AS task FROM e WHERE NOT (json_type(x) = 'NULL' OR (json_type(x) = 'VARCHAR' AND trim(x ->> '$') = '') OR x::VARCHAR IN ('{}', '[]')))
+    SELECT role, task, count(*) AS n FROM k GROUP BY role, task""",
+)
 def task_rows(s: SparkSession, d: str) -> DataFrame:
+    """Tasks of the packets that are plain JSON with a map of roles; wrapped payloads are read too, but SQL can't."""
+    packets = table(s, d, "remediation_packets")
+    plain = packets.where(F.try_parse_json("payload").isNotNull() & F.get_json_object("payload", "$.tasks_by_role").startswith("{") & ~F.coalesce(F.get_json_object("payload", "$.tasks_by_role.tasks"), F.get_json_object("payload", "$.tasks_by_role.role"), F.lit("")).startswith("["))
+    return publish.tasks(nested.child_rows(plain, "packet_id", "packet")).groupBy("role", "task").agg(F.count("*").alias("n"))
+
+
+@query("task_numbers")
+def task_numbers(s: SparkSession, d: str) -> DataFrame:
     return publish.tasks(nested.child_rows(table(s, d, "remediation_packets"), "packet_id", "packet"))
 
 

@@ -90,7 +90,7 @@ def scored(version: int) -> str:
     total = " + ".join(f"CASE WHEN {c} THEN {p} ELSE 0 END" for c, p, _ in terms)
     why = joined("list_filter([" + ", ".join(f"CASE WHEN {c} THEN {label} END" for c, _, label in terms) + "], lambda x: x IS NOT NULL)")
     return f"""{AUTHORITY}, points AS (SELECT *, {total} AS score, {why} AS why FROM known),
-scored AS (SELECT *, {priority('score')} AS priority FROM points)"""
+scored AS (SELECT * EXCLUDE (why), why || ';priority: ' || priority || ' (score=' || score || ')' AS why FROM (SELECT *, {priority('score')} AS priority FROM points))"""
 
 
 def priority(score: str) -> str:
@@ -105,8 +105,11 @@ def category() -> str:
     hay = "(title || ' ' || summary)"
     plain = f"CASE WHEN {like(hay, rules.SYSTEM_WORDS)} THEN 'healthcare_it' WHEN {like(hay, rules.SITE_WORDS)} THEN 'healthcare_infrastructure' ELSE 'healthcare_adjacent' END"
     false = f"({like(hay, rules.NOT_MEDICAL)} OR ({like(hay, rules.THREATS)} AND NOT {like(hay, rules.STRONG_DEVICE)}))"
-    device = f"(coalesce(medical, false) OR fda_risk_class IS NOT NULL OR {like(hay, rules.DEVICE_WORDS)})"
-    relevant = f"(coalesce(medical, false) OR {like(hay, rules.RELEVANT_WORDS)})"
+    # No lookbehind here: a maker's name stands between characters that belong to no word.
+    makers = "|".join(v.replace(".", r"\.") for v in rules.VENDORS)
+    named = f"regexp_matches({latin(hay)}, {q('(?i)(^|[^0-9A-Za-z_])(?:' + makers + ')([^0-9A-Za-z_]|$)')})"
+    device = f"(coalesce(medical, false) OR {named} OR fda_risk_class IS NOT NULL OR {like(hay, rules.DEVICE_WORDS)})"
+    relevant = f"(coalesce(medical, false) OR {like(hay, rules.RELEVANT_WORDS)} OR {named})"
     return f"SELECT issue_id, {relevant} AS relevant, CASE WHEN NOT {relevant} THEN 'not_healthcare' WHEN {false} THEN {plain} WHEN {device} THEN 'medical_device' ELSE {plain} END AS category"
 
 

@@ -21,10 +21,14 @@ def arriving(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name}.parque[t]")
 
 
-def finished(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Everything the stream yields for the files there are, as a table."""
+def finished(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """Everything the stream yields for the files there are, as a table.
+
+    ``folder`` keeps state and results between runs: a later run reads only files that came since, and its result holds that of the earlier ones. Without it the run stands
+    alone. Delete the folder to start anew.
+    """
     spark = stream.sparkSession
-    at = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = folder or f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{at}/state")
     if mode == "append":
         query = writer.outputMode("append").format("parquet").option("path", f"{at}/out").start()
@@ -35,7 +39,7 @@ def finished(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 
 def once(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """The first row of each key, whenever repeats arrive."""
+    """The first row of each key, whenever repeats arrive. The state is a row per key and grows with them; it lies in the state store, not in memory."""
     return stream.dropDuplicates(keys)
 
 

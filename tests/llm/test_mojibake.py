@@ -27,7 +27,7 @@ def test_clean_texts_are_left_alone(model, text):
 
 @pytest.mark.parametrize(("text", "state", "restored"), [
     ("Br�nnexa", "lost", None), ("K??rwick hub", "lost", None), ("Pr+APw-fung", "utf7", "Prüfung"), (M.garble("ポンプの管理画面に関する注意喚起です。", "cp932", "cp1252"), "sjis", "ポンプの管理画面に関する注意喚起です。"),
-    ("Gerã¤t fã¼r", "utf8>cp1252 in lower case", "Gerät für"), ("Ger&Atilde;&curren;t", "utf8>cp1252", "Gerät"),
+    ("Gerã¤t fã¼r", "utf8>cp1252 in lower case", "Gerät für"), ("Br�nnexa: " + M.garble("Gerät für", "utf-8", "cp1252"), "utf8>cp1252", "Br�nnexa: Gerät für"), ("Pr+APw-fung Br�nnexa", "utf7", "Prüfung Br�nnexa"), ("Ger&Atilde;&curren;t", "utf8>cp1252", "Gerät"),
 ])
 def test_other_forms(model, text, state, restored):
     got = model.label(text)

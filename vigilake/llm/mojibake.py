@@ -8,9 +8,9 @@ class)``, taken over the whole corpus. States persist (a value garbled once is g
 costs its prior. Viterbi gives the best path; each span labelled with a pair gets that pair's inverse transform.
 
 ASCII has the same probability in the clean and in every pair state, so Viterbi steps from one non-ASCII run to the next;
-the costs of a run in its context are kept per distinct run, which are few. Three forms leave no bytes to count on and are states
-with fixed emissions: U+FFFD and question marks inside words (lost, not restorable), UTF-7 left undecoded, and Shift-JIS, whose second bytes
-are ASCII, which is decoded over the whole value.
+the costs of a run in its context are kept per distinct run, which are few. Characters that were replaced by U+FFFD or question marks inside words are a state too (``lost``): it emits
+these marks, which clean text hardly holds, and its inverse leaves them, so what else is garbled in the value is still restored. UTF-7 left undecoded is a state whose
+segments are its shift sequences, and Shift-JIS, whose second bytes are ASCII, one that spans the whole value; both emit what they stand for with the clean model's counts.
 
 The model that is broadcast holds counts per distinct character and context class: bounded by the alphabet, not by the rows.
 """
@@ -48,6 +48,10 @@ PAIRS = [
     ("cp1252>koi8", "cp1252", "koi8-r", -9.5), ("cp1252>cp866", "cp1252", "cp866", -9.5), ("macroman>cp1252", "mac_roman", "cp1252", -9.5), ("cp437>cp1252", "cp437", "cp1252", -9.5), ("cp850>cp1252", "cp850", "cp1252", -9.5),
 ]
 LEAVE, MIXED, MARGIN = 1.0, 3.0, 0.5
+#: States beside the pairs (-1 is clean), and their priors; what clean text costs that shows a mark of a loss in a word, or each character of a sequence that decodes as UTF-7.
+LOST, UTF7, SHIFT_JIS = -2, -3, -4
+BESIDE = {LOST: ("lost", -4.0), UTF7: ("utf7", -6.0), SHIFT_JIS: ("sjis", -8.0)}
+LOST_MARK, CLEAN_ASKED, CLEAN_SHIFT = 1.0, 12.0, 3.0
 
 
 def _read(raw: bytes, enc: str) -> str | None:
@@ -181,53 +185,66 @@ class Model:
         self.memo[key] = clean, out
         return clean, out
 
+    def spans(self, text: str) -> list[tuple[int, int, float, dict[int, tuple[float, str]]]]:
+        """(start, end, cost as clean, {state: (cost, restored)}) of all stretches that a state other than clean may have emitted, in order."""
+        out = []
+        for m in _RUN.finditer(text):
+            clean, by = self.run(kind_of(text[m.start() - 1 : m.start()]), m.group(), kind_of(text[m.end() : m.end() + 1]))
+            if "�" in m.group():
+                # Pairs explain none of the lost characters, the lost state none of the others.
+                by = by | {LOST: (sum(LOST_MARK if c == "�" else self.cost(c, None, None) for c in m.group()), m.group())}
+            out.append((m.start(), m.end(), clean, by))
+        if "?" in text:
+            for m in _ASKED.finditer(text):
+                if _lost(m.group()):
+                    out += [(m.start() + x.start(), m.start() + x.end(), CLEAN_ASKED, {LOST: (LOST_MARK, x.group())}) for x in re.finditer(r"\?+", m.group())]
+        if "+" in text:
+            for m in _UTF7.finditer(text):
+                if (s := self._shifted(m.group(1))) is not None:
+                    out.append((m.start(), m.end(), CLEAN_SHIFT * len(m.group()), {UTF7: (sum(self.cost(c, None, None) for c in s if not c.isascii()), s)}))
+        return sorted(out, key=lambda x: x[:2])
+
     def label(self, value: str) -> tuple[str, str | None] | None:
-        """(state, restored text or None if it can't be known) of a garbled value; None if the value is clean."""
+        """(state, restored text or None if nothing of it can be known) of a garbled value; None if the value is clean. Lost characters stay as they are in the restored text."""
         text = html.unescape(value) if "&" in value else value
-        if "�" in text:
-            return "lost", None
-        if any(_lost(m.group()) for m in _ASKED.finditer(text)):
-            return ("sjis", s) if (s := self._shift_jis(text)) else ("lost", None)
-        if "+" in text and (s := self._utf7(text)) is not None:
-            return "utf7", s
-        spans = list(_RUN.finditer(text))
-        if not spans:
-            return None
-        if _BYTES.search(text) and (s := self._shift_jis(text)):
-            return "sjis", s
-        costs = [self.run(kind_of(text[m.start() - 1 : m.start()]), m.group(), kind_of(text[m.end() : m.end() + 1])) for m in spans]
-        if not any(c[0] < clean for clean, by in costs for c in by.values()):
+        spans = self.spans(text)
+        if not spans or all(cost >= clean for _, _, clean, by in spans for cost, _ in by.values()) and not _BYTES.search(text):
             return None
-        # Viterbi over the runs; state 0 is clean, a run that a pair can't explain costs it as clean text does.
-        states = [-1, *sorted({k for _, by in costs for k in by})]
-        enter = {k: -self.priors[k] for k in states[1:]}
+        # Viterbi over the spans; state -1 is clean, a span that a state can't explain costs it as clean text does.
+        states = [-1, *sorted({k for *_, by in spans for k in by})]
+        enter = {k: -(self.priors[k] if k >= 0 else BESIDE[k][1]) for k in states[1:]}
         score, back = {-1: 0.0} | enter, []
-        for i, (clean, by) in enumerate(costs):
-            emit = {k: by[k][0] if k in by and by[k][0] < clean + MIXED else clean + (MIXED if k >= 0 else 0.0) for k in states}
+        for i, (_, _, clean, by) in enumerate(spans):
+            emit = {k: by[k][0] if k in by and by[k][0] < clean + MIXED else clean + (MIXED if k != -1 else 0.0) for k in states}
             if i:
                 low = min(states, key=score.__getitem__)
-                arrive = {k: min((score[k], k), (score[low] + (LEAVE if k < 0 else enter[k]), low)) for k in states}
+                arrive = {k: min((score[k], k), (score[low] + (LEAVE if k == -1 else enter[k]), low)) for k in states}
             else:
                 arrive = {k: (score[k], k) for k in states}
             back.append({k: a[1] for k, a in arrive.items()})
             score = {k: arrive[k][0] + emit[k] for k in states}
         k = min(states, key=score.__getitem__)
-        path = [k]
+        best, total, path = score[k], sum(clean for _, _, clean, _ in spans), [k]
+        if (whole := self._shift_jis(text)) and sum(min(self.cost(c, None, None), 8.0) for c in whole if not c.isascii()) - BESIDE[SHIFT_JIS][1] < min(best, total - MARGIN):
+            return "sjis", whole
         for b in reversed(back[1:]):
             path.append(k := b[k])
         path.reverse()
-        total = sum(c for c, _ in costs)
-        if all(k < 0 for k in path) or min(score.values()) > total - MARGIN:
+        if all(k == -1 for k in path) or best > total - MARGIN:
             return None
-        out, at = [], 0
-        for m, k, (_, by) in zip(spans, path, costs, strict=True):
-            out.append(text[at : m.start()])
-            new = by[k][1] if k >= 0 and k in by else m.group()
-            at = m.end() + new.endswith("\0")
+        out, at, known = [], 0, False
+        for (start, end, _, by), k in zip(spans, path, strict=True):
+            if start < at:  # a shift sequence within what was taken already
+                continue
+            out.append(text[at:start])
+            new = by[k][1] if k != -1 and k in by else text[start:end]
+            at = end + new.endswith("\0")
+            known |= k not in (-1, LOST) and k in by and not (k >= 0 and "without controls" in self.names[k])
             out.append(new.rstrip("\0"))
         out.append(text[at:])
-        name = next(self.names[k] for k in path if k >= 0)
-        return name, None if "without controls" in name else "".join(out)
+        named = [k for k in path if k != -1]
+        first = next((k for k in named if k >= 0), named[0])
+        return self.names[first] if first >= 0 else BESIDE[first][0], "".join(out) if known else None
 
     def _shift_jis(self, text: str) -> str | None:
         """The Japanese text that was read byte by byte as a western encoding, if ``text`` is such."""
@@ -245,26 +262,18 @@ class Model:
                         return back
         return None
 
-    def _utf7(self, text: str) -> str | None:
-        hits = []
-
-        def plain(m: re.Match) -> str:
-            body = m.group(1)
-            try:
-                raw = base64.b64decode(body + "=" * (-len(body) % 4))
-                bits = len(body) * 6 % 16
-                if bits >= 6 or len(raw) < 2 or (bits and "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/".index(body[-1]) & ((1 << bits) - 1)):
-                    return m.group()
-                out = raw[: len(raw) // 2 * 2].decode("utf-16-be")
-            except (ValueError, UnicodeDecodeError):
-                return m.group()
-            if not all(self.one.get(c, 0) >= 1 and not _foreign(c) or c in " \n" or "぀" <= c <= "鿿" or "＀" <= c <= "￯" for c in out) or out.isascii():
-                return m.group()
-            hits.append(out)
-            return out
-
-        out = _UTF7.sub(plain, text)
-        return out if hits else None
+    def _shifted(self, body: str) -> str | None:
+        """What a shift sequence of UTF-7 stands for; None if it is none: whole units of 16 bits, padded with zeros, of characters that the corpus is written with."""
+        try:
+            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            bits = len(body) * 6 % 16
+            if bits >= 6 or len(raw) < 2 or (bits and "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/".index(body[-1]) & ((1 << bits) - 1)):
+                return None
+            out = raw[: len(raw) // 2 * 2].decode("utf-16-be")
+        except (ValueError, UnicodeDecodeError):
+            return None
+        known = all(self.one.get(c, 0) >= 1 and not _foreign(c) or c in " \n" or "぀" <= c <= "鿿" or "＀" <= c <= "￯" for c in out)
+        return out if known and not out.isascii() else None
 
 
 def _lost(token: str) -> bool:

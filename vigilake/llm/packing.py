@@ -57,24 +57,29 @@ def _fits(items: list[int], places: list[int]) -> bool:
     return True
 
 
-def fillings(room: int, sizes: list[int], left: Counter, width: int = 6, budget: int = 240) -> list[list[int]]:
-    """Undominated fillings of ``room`` from the sizes left (``sizes`` ascending, distinct), least waste first.
+def fillings(room: int, sizes: list[int], left: Counter, scale: int = 1) -> tuple[list[list[int]], bool]:
+    """(undominated fillings of ``room`` from the sizes left, least waste first; whether some were left out). ``sizes`` are ascending and distinct.
 
-    Each filling is maximal up to ``budget`` nodes of enumeration; the first to leave nothing ends it.
+    Each filling is maximal. At ``scale`` 1 six sizes are tried a level, 240 nodes enumerated, the twelve fillings with least waste compared and four kept; every doubling of the scale doubles all four. The first
+    filling that leaves nothing dominates every other and ends the enumeration.
     """
     out: list[tuple[int, list[int]]] = []
     nodes = 0
     chosen: list[int] = []
     used: Counter = Counter()
+    short = False
 
     def walk(room: int, top: int) -> bool:
-        nonlocal nodes
+        nonlocal nodes, short
         nodes += 1
         at = min(bisect_right(sizes, room), top) - 1
         tried = 0
-        while at >= 0 and tried < width and nodes < budget:
+        while at >= 0:
             s = sizes[at]
             if left[s] > used[s]:
+                if tried == 6 * scale or nodes >= 240 * scale:
+                    short = True
+                    break
                 tried += 1
                 used[s] += 1
                 chosen.append(s)
@@ -89,24 +94,41 @@ def fillings(room: int, sizes: list[int], left: Counter, width: int = 6, budget:
             return room == 0
         return False
 
-    walk(room, len(sizes))
+    if walk(room, len(sizes)):
+        return [min(out)[1]], False
     out.sort(key=lambda x: (x[0], len(x[1]), [-s for s in x[1]]))
     kept: list[list[int]] = []
-    for _, items in out[:12]:
+    for _, items in out[: 12 * scale]:
         if not any(k == items or _fits(items, k) for k in kept):
             kept.append(items)
-        if len(kept) == 4:
+        if len(kept) == 4 * scale:
             break
-    return kept
+    return kept, short or len(out) > 12 * scale or len(kept) == 4 * scale
 
 
 def complete(sizes: list[int], capacity: int = CAPACITY, budget: int = NODES) -> list[list[int]]:
-    """Containers (lists of sizes, all between 1 and ``capacity``) by bin completion."""
+    """Containers (lists of sizes, all between 1 and ``capacity``) by bin completion.
+
+    Where the search has tried all that the enumeration gave it and still lies above the volume bound, it starts again with twice the enumeration, as long as the node budget lasts and something was left out.
+    """
     if not sizes:
         return []
     total, best = sum(sizes), best_fit(sizes, capacity)
     bound = math.ceil(total / capacity)
+    nodes, scale = 0, 1
+    while len(best) > bound and nodes < budget:
+        best, used, short = _search(sizes, capacity, best, total, bound, budget - nodes, scale)
+        nodes += used
+        scale *= 2
+        if not short:
+            break
+    return best
+
+
+def _search(sizes: list[int], capacity: int, best: list[list[int]], total: int, bound: int, budget: int, scale: int) -> tuple[list[list[int]], int, bool]:
+    """(best containers, nodes used, whether an enumeration left something out) of one depth-first search with ``best`` as the incumbent."""
     left, distinct = Counter(sizes), sorted(set(sizes))
+    short = False
 
     def take(items: list[int], sign: int) -> None:
         for s in items:
@@ -121,9 +143,12 @@ def complete(sizes: list[int], capacity: int = CAPACITY, budget: int = NODES) ->
     waste, nodes = 0, 0
 
     def expand() -> list[list[int]]:
+        nonlocal short
         top = distinct[-1]
         take([top], 1)
-        options = [[top, *f] for f in fillings(capacity - top, distinct, left)]
+        found, more = fillings(capacity - top, distinct, left, scale)
+        short |= more
+        options = [[top, *f] for f in found]
         take([top], -1)
         return options[::-1]
 
@@ -131,7 +156,7 @@ def complete(sizes: list[int], capacity: int = CAPACITY, budget: int = NODES) ->
     while len(best) > bound and nodes < budget:
         if options:
             items = options.pop()
-            nodes += 1
+            nodes += scale  # a node of a wider search costs as much more
             if waste + capacity - sum(items) > (len(best) - 1) * capacity - total:
                 options = []
                 continue
@@ -149,7 +174,7 @@ def complete(sizes: list[int], capacity: int = CAPACITY, budget: int = NODES) ->
             waste -= capacity - sum(items)
         else:
             break
-    return best
+    return best, nodes, short
 
 
 def _pack(pdf: pd.DataFrame, capacity: int, base: int) -> pd.DataFrame:

@@ -136,16 +136,12 @@ def token_estimate(c: Column) -> Column:
     return F.floor(F.length(c) / 4).cast("long")
 
 
-@F.pandas_udf(StringType())
-def cpe_product(s: pd.Series) -> pd.Series:
-    """"Vendor Product" of a CPE 2.3 name; empty if it has no such parts."""
-
-    def of(cpe: str) -> str:
-        parts = cpe.split(":")
-        named = [p.replace("_", " ").title() for p in parts[3:5] if p not in ("*", "-", "")]
-        return " ".join(named) if len(parts) >= 5 else ""
-
-    return s.map(of, na_action="ignore")
+def cpe_product(cpe: Column) -> Column:
+    """"Vendor Product" of a CPE 2.3 name, every stretch of letters capitalised; empty if it has no such parts."""
+    parts = F.split(cpe, ":")
+    named = F.filter(F.slice(parts, 4, 2), lambda p: ~p.isin("*", "-", ""))
+    title = lambda p: F.array_join(F.transform(F.regexp_extract_all(F.lower(F.replace(p, F.lit("_"), F.lit(" "))), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1)), lambda w: F.initcap(w)), "")
+    return F.when(F.size(parts) >= 5, F.array_join(F.transform(named, title), " ")).when(cpe.isNotNull(), "")
 
 
 def revised_date(c: Column) -> Column:

@@ -67,10 +67,19 @@ VENDORS = [
 VENDOR_WORDS = r"(?<![\w])(?:" + "|".join(v.replace(".", r"\.") for v in VENDORS) + r")(?![\w])"
 
 
+# Words of the filter for recalls, of which only what touches security counts.
+CYBER = ["cybersecurity", "vulnerability", "exploit", "unauthorized access", "data breach", "encryption", "authentication", "password", "remote", "network", "software", "firmware", "patch", "hack", "malware", "ransomware", "cve-", "security update"]
+
+
 def ilike(c: Column, pattern: str) -> Column:
     return c.rlike("(?i)" + pattern)
 
 
+def cyber(*texts: Column) -> Column:
+    """Whether one of ``texts``, joined by blanks, holds a word of ``CYBER``, also within another word."""
+    return ilike(F.concat_ws(" ", *[F.coalesce(t, F.lit("")) for t in texts]), "|".join(CYBER))
+
+
 def priority(score: Column) -> Column:
     out = F.lit("P3")
     for name, least in reversed(PRIORITIES):

@@ -234,10 +234,9 @@ def category_counts(s: SparkSession, d: str) -> DataFrame:
     return healthcare_category(s, d).groupBy("category").agg(F.count("*").alias("n"))
 
 
-@query("cyber_relevance", "SELECT row_id FROM signals WHERE regexp_matches(coalesce(title, '') || ' ' || coalesce(summary, ''), '(?i)cyber|software|firmware|network|remote|password|authentication|encryption|wireless|bluetooth|malware|unauthorized|vulnerab|exploit')")
+@query("cyber_relevance", f"SELECT row_id FROM signals WHERE regexp_matches(concat_ws(' ', coalesce(title, ''), coalesce(summary, ''), coalesce(kev_required_action, ''), coalesce(kev_vulnerability_name, '')), '(?i){'|'.join(rules.CYBER)}')")
 def cyber_relevance(s: SparkSession, d: str) -> DataFrame:
-    hay = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
-    return signals_of(s, d).where(hay.rlike(r"(?i)cyber|software|firmware|network|remote|password|authentication|encryption|wireless|bluetooth|malware|unauthorized|vulnerab|exploit")).select("row_id")
+    return signals_of(s, d).where(rules.cyber(*[F.col(c) for c in ("title", "summary", "kev_required_action", "kev_vulnerability_name")])).select("row_id")
 
 
 # --- enrichment

@@ -114,7 +114,7 @@ def stream_new_items(s: SparkSession, d: str) -> DataFrame:
     "task_rows",
     """WITH p AS (SELECT packet_id, payload FROM remediation_packets WHERE json_valid(payload) AND json_type(payload, '$.tasks_by_role') = 'OBJECT'),
     r AS (SELECT packet_id, payload, unnest(json_keys(payload, '$.tasks_by_role')) AS role FROM p), a AS (SELECT packet_id, role, json_extract(payload, '$.tasks_by_role."' || role || '"') AS v FROM r),
-    e AS (SELECT packet_id, role, CASE json_type(v) WHEN 'ARRAY' THEN unnest(v::JSON[]) ELSE v END AS x, CASE json_type(v) WHEN 'ARRAY' THEN unnest(range(json_array_length(v)::BIGINT)) ELSE 0 END AS pos FROM a),
+    e AS (SELECT packet_id, role, unnest(CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END) AS x, 0 AS pos FROM a),
     k AS (SELECT packet_id, role, pos, x, CASE json_type(x) WHEN 'VARCHAR' THEN x ->> '$' ELSE x ->> '$.task' END AS task FROM e WHERE NOT (json_type(x) = 'NULL' OR (json_type(x) = 'VARCHAR' AND trim(x ->> '$') = '') OR x::VARCHAR IN ('{}', '[]')))
     SELECT role, task, count(*) AS n FROM k GROUP BY role, task""",
 )

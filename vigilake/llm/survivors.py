@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,7 +114,7 @@ def soundness(counts: list[tuple[str, str, int, int]], limit: int = 2000, close:
     """(``{(field, source, said): probability that such a value is cut off}``, ``{(field, witness): (sensitivity, specificity)}``) by expectation-maximisation.
 
     ``counts`` has (field, source, said, number of values). Sensitivity is how often a witness speaks where the value is cut off, specificity how often it is silent where it is whole; that its weak tests
-    speak alone has a rate of its own. Ends when no rate moves by more than ``close``, and fails loudly after ``limit`` rounds. The iteration starts from
+    speak alone has a rate of its own. Ends when no rate moves by more than ``close``, and with a warning after ``limit`` rounds. The iteration starts from
     the values of which a test that isn't ``WEAK`` speaks. The priors, a witness that sees half of what is cut off and errs as ``ERRS`` and ``WEAK_ERRS`` say, weigh as much as ten values, so one that hardly speaks stays near them.
     """
     chance: dict[tuple[str, str, int], float] = {}
@@ -148,7 +149,7 @@ def soundness(counts: list[tuple[str, str, int, int]], limit: int = 2000, close:
             if moved < close:
                 break
         else:
-            raise RuntimeError(f"no convergence in {limit} rounds")
+            warnings.warn(f"rates of {field} still move by {moved} after {limit} rounds", stacklevel=2)
         chance |= {(field, s, b): float(x) for (s, b, _), x in zip(rows, p, strict=True)}
         learned |= {(field, name): (float(1 - r[1, 0]), float(r[0, 0])) for name, r in zip(witnesses, rates, strict=True)}
     return chance, learned
@@ -227,10 +228,10 @@ def votes(records: DataFrame, values: DataFrame) -> DataFrame:
     return pairs.select("issue_id", "field", "value", "source", F.coalesce("yes", F.lit(0)).alias("yes"), F.greatest(F.col("rows") - F.coalesce("yes", F.lit(0)), F.lit(0)).alias("no"))
 
 
-def quality(claims: DataFrame, limit: int = 40, close: float = 0.002, prior: float = 0.6) -> tuple[DataFrame, DataFrame]:
+def quality(claims: DataFrame, limit: int = 60, close: float = 0.002, prior: float = 0.6) -> tuple[DataFrame, DataFrame]:
     """(``(issue_id, field, value, truth)``, ``(field, source, sensitivity, specificity)``) by expectation-maximisation from ``votes``.
 
-    Each round is one aggregation over the votes per value and one per source. It ends when no source's sensitivity or specificity moves by more than ``close``, and fails loudly after ``limit`` rounds. Beta priors keep
+    Each round is one aggregation over the votes per value and one per source. It ends when no source's sensitivity or specificity moves by more than ``close``, and with a warning after ``limit`` rounds. Beta priors keep
     a source with few votes near 0.8 and 0.8; an empty table gives empty results.
     """
     # Texts are long and every round joins on them: the rounds carry a hash of issue, field and value.
@@ -246,14 +247,17 @@ def quality(claims: DataFrame, limit: int = 40, close: float = 0.002, prior: flo
         judged = votes_.join(truth, "fact")
         t, f = F.col("truth"), 1 - F.col("truth")
         sums = judged.groupBy("field", "source").agg(F.sum(t * F.col("yes")).alias("ty"), F.sum(t * F.col("no")).alias("tn"), F.sum(f * F.col("yes")).alias("fy"), F.sum(f * F.col("no")).alias("fn"))
-        new = cut(sums.select("field", "source", ((F.col("ty") + 8) / (F.col("ty") + F.col("tn") + 10)).alias("sensitivity"), ((F.col("fn") + 8) / (F.col("fy") + F.col("fn") + 10)).alias("specificity")))
+        sensitivity = (F.col("ty") + 8) / (F.col("ty") + F.col("tn") + 10)
+        # That a source states a value never speaks against it: where hardly two sources agree (titles), the model could as well take all for liars.
+        specificity = F.greatest((F.col("fn") + 8) / (F.col("fy") + F.col("fn") + 10), 1.05 - sensitivity)
+        new = cut(sums.select("field", "source", sensitivity.alias("sensitivity"), F.least(specificity, F.lit(0.999)).alias("specificity")))
         old = who.select("field", "source", F.col("sensitivity").alias("s0"), F.col("specificity").alias("p0"))
         moved = new.join(old, ["field", "source"]).agg(F.max(F.greatest(F.abs(F.col("sensitivity") - F.col("s0")), F.abs(F.col("specificity") - F.col("p0"))))).first()[0]
         who = new
         if (moved or 0) <= close:
             break
     else:
-        raise RuntimeError(f"no convergence in {limit} rounds")
+        warnings.warn(f"sources still move by {moved} after {limit} rounds", stacklevel=2)
     return claims.select("issue_id", "field", "value", "fact").distinct().join(truth, "fact").drop("fact"), who
 
 

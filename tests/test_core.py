@@ -60,7 +60,7 @@ def test_scores_and_priorities(spark):
     got = {r.issue_id: r for r in rules.scored(rows).collect()}
     # base 10, source 80, exploited 40, RCE 30, link 5, authority 26 (half to even), medical 50, pump 25, class 30
     assert (got["CVE-2024-1"].score, got["CVE-2024-1"].priority) == (296, "P0")
-    assert (got["UNK-1"].score, got["UNK-1"].why, got["UNK-1"].actions) == (2, "base: issue_type!=cve (+2)", "log")
+    assert (got["UNK-1"].score, got["UNK-1"].why, got["UNK-1"].actions) == (2, "base: issue_type!=cve (+2);priority: P3 (score=2)", "log")
     assert rules.scored(rows, 1).where("issue_id = 'CVE-2024-1'").first().score == 165
     tag = {r.issue_id: r for r in rules.tagged(rows).collect()}
     assert (tag["CVE-2024-1"].kev, tag["CVE-2024-1"].rce, tag["CVE-2024-1"].confidence) == (True, True, 1.0) and tag["UNK-1"].confidence == 0.4

@@ -248,8 +248,9 @@ def quality(claims: DataFrame, limit: int = 60, close: float = 0.002, prior: flo
         t, f = F.col("truth"), 1 - F.col("truth")
         sums = judged.groupBy("field", "source").agg(F.sum(t * F.col("yes")).alias("ty"), F.sum(t * F.col("no")).alias("tn"), F.sum(f * F.col("yes")).alias("fy"), F.sum(f * F.col("no")).alias("fn"))
         sensitivity = (F.col("ty") + 8) / (F.col("ty") + F.col("tn") + 10)
-        # That a source states a value never speaks against it: where hardly two sources agree (titles), the model could as well take all for liars.
-        specificity = F.greatest((F.col("fn") + 8) / (F.col("fy") + F.col("fn") + 10), 1.05 - sensitivity)
+        specificity = (F.col("fn") + 8) / (F.col("fy") + F.col("fn") + 10)
+        # Hardly two sources word a title or summary alike, so nothing there tells liars: that a source states one never speaks against it.
+        specificity = F.when(F.col("field").isin("title", "summary"), F.greatest(specificity, 1.05 - sensitivity)).otherwise(specificity)
         new = cut(sums.select("field", "source", sensitivity.alias("sensitivity"), F.least(specificity, F.lit(0.999)).alias("specificity")))
         old = who.select("field", "source", F.col("sensitivity").alias("s0"), F.col("specificity").alias("p0"))
         moved = new.join(old, ["field", "source"]).agg(F.max(F.greatest(F.abs(F.col("sensitivity") - F.col("s0")), F.abs(F.col("specificity") - F.col("p0"))))).first()[0]

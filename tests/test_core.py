@@ -80,6 +80,25 @@ def test_merge_candidates_equal_brute_force(spark):
     assert got == {(r.x, r.y): r.s for r in every.collect()} and got
 
 
+def test_merge_candidates_compare_where_keys_meet(spark):
+    """A CVE and a sentence that all issues share don't send every pair through a shuffle."""
+    rows = [(f"H{i:04d}", "cve", ["CVE-2024-1"], f"h{i}aa h{i}bb h{i}cc", f"h{i}dd h{i}ee", None, None, None, None, None, None, None) for i in range(2000)]
+    rows += [(f"N{i:04d}", "unknown", None, f"notice update n{i}aa", f"n{i}bb n{i}cc", None, None, None, None, None, None, None) for i in range(2000)]
+    rows += [("H9999", *rows[7][1:4], "h7dd h7ff", *rows[7][5:]), ("N9999", "unknown", ["CVE-2024-2"], *rows[2007][3:]), ("N9998", "unknown", None, "notice updates n7aa", *rows[2007][4:])]
+
+    # 25 words and the same but for one: every pair is found, whatever bits its words take.
+    edited = [[f"e{i}w{k}" for k in range(25)] for i in range(200)]
+    rows += [(f"{side}{i:04d}", "unknown", None, " ".join(["odd" if side == "F" and k == 3 else w for k, w in enumerate(words)]), "", *[None] * 7) for i, words in enumerate(edited) for side in "EF"]
+
+    def written():
+        return sum(e.totalShuffleWrite() for e in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().statusStore().executorList(False)))
+
+    before = written()
+    got = {(r.id_a, r.id_b) for r in similarity.merge_candidates(issue_rows(spark, *rows), 0.5).collect()}
+    assert got == {("H0007", "H9999"), ("N0007", "N9998"), ("N0007", "N9999")} | {(f"E{i:04d}", f"F{i:04d}") for i in range(200)}
+    assert written() - before < 6_000_000
+
+
 def test_merged_components_prefer_cves(spark):
     pairs = [("U1", "U2"), ("U2", "CVE-2"), ("CVE-2", "U3"), ("X2", "X1"), ("X1", "X1"), (None, "X1")] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(40)]
     got = {r.id: r.root for r in issues.merged_components(spark.createDataFrame(pairs, "a string, b string")).collect()}

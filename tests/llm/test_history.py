@@ -162,3 +162,19 @@ def test_hot_code_is_split_and_still_hangs_together(spark, monkeypatch):
     rows = [(i, i % 3, "s", f"g{i}x", None, None, " ".join([*base, rng.choice("abcdefgh") * 3, rng.choice("stuvwxyz") * 4])) for i in range(120)]
     got = H.items(spark.createDataFrame(rows, SIGNALS)).collect()
     assert len({r.id for r in got}) == 120 and len({r.group for r in got}) == 1
+
+
+def test_links_do_not_depend_on_the_size_of_routes(spark, monkeypatch):
+    """All pairs that the rerank accepts are linked, whether their route is split or not."""
+    rng = random.Random(9)
+    vocabulary = [f"w{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    rows = []
+    for i in range(300):
+        words = rng.sample(vocabulary, 13)
+        other = [*words[:-2], f"x{i}y"[:3].replace("0", "q").replace("1", "r")]  # 12 of the 16 words of both
+        rows += [(2 * i, 0, "s", f"g{i}x", None, None, " ".join(["777777", "zz", *words])), (2 * i + 1, i % 2, "s", f"h{i}x", None, None, " ".join(["777777", "zz", *other, "z"]))]
+    sets = {r[0]: H.tokens(None, r[6]) for r in rows}
+    wanted = {(2 * i, 2 * i + 1) for i in range(300) if len(sets[2 * i] & sets[2 * i + 1]) >= H.SAME_WORDS * len(sets[2 * i] | sets[2 * i + 1])}
+    whole = pairs(spark, rows)
+    monkeypatch.setattr(H, "SPLIT", 50)
+    assert len(wanted) == 300 and pairs(spark, rows) >= wanted and whole >= wanted

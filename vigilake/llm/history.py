@@ -7,19 +7,17 @@ for small edits; the entry of another catalogue is another item) or by a chain o
 of an earlier batch is read again. The folder holds
 
 * ``keys``: one row per key, the first row that had it;
-* ``segments``: navigable small-world graphs, one per history segment and shard, as parquet. A batch is a new segment. A task that searches a shard loads the
-  graphs of that shard only. Beyond ``MAX_SEGMENTS`` the two smallest are compacted into one;
+* ``segments``: one per batch, filed by shard and way as parquet. A task that searches a shard loads the texts of that shard only. Beyond ``MAX_SEGMENTS`` the two smallest are
+  compacted into one;
 * ``links``: what each batch was linked to, and a manifest.
 
 A text is reduced to its set of words, a 128-bit sketch of it and its codes (tokens with numbers) in one fixed order, the longest, hence rarest, first. It is filed in the shards of the first
 codes in that order: as many as it takes for any two texts whose codes have a similarity of ``SAME_CODES`` to have one in common (a prefix filter, so
 no accepted pair is lost in routing); texts without a code by their words in the same way. Which shard a route leads to is a *version* of the routing: the number of shards grows with the texts, and routes that too many texts take are split
-four ways by minimum hashes of the words. Segments keep the version they were written in until they are compacted.
+by a second word in common, again by a prefix filter. So a pair meets however many texts there are. Segments keep the version they were written in until they are compacted.
 
-In a graph the nodes are linked to their neighbours in six sort orders (route, codes, minimum hashes of the words twice, sketch twice; short links) and in a random one (long links). A query
-enters where it would stand in the orders, and the beam follows the links; what it brings within ``NEAR_BITS`` is reranked exactly on the word sets. For each batch and graph the beam is tuned against
-exhaustive search on ``PROBES`` rows or more for which the rerank accepts another text, and widened until it finds ``RECALL`` of those texts. Where the widest beam doesn't, or there are too few such rows to tell, the graph is searched
-exhaustively in blocks if it has no more than ``EXHAUSTIVE`` nodes (any shard but one of a hot route that its words couldn't split), else with the widest beam.
+In a shard a text is compared with all texts of its way (a route, or a route and a second word): those within ``NEAR_BITS`` are reranked exactly on the word sets. No bound of the search depends on
+how many texts there are. (``Graph``, a small-world graph whose tuned beam did depend on it, isn't used by the index any more.)
 
 Copies (equal word sets) are collapsed where they are read and where they meet. Pairs already linked aren't reranked, so a cluster costs about as many comparisons as it has texts.
 """
@@ -47,6 +45,7 @@ from vigilake.tables import checkpoint_dir, cut, small, width
 SHIFT = 48  # an id is the batch number above SHIFT bits of row_id, so ids sort as (batch_no, row_id) do
 SHARD, SPLIT = 24_000, 4_000  # texts a shard holds on average at most; texts from which a route is split
 MAX_SEGMENTS, BEAM, WIDEST, HOPS, PROBES, RECALL, EXACT, EXHAUSTIVE = 3, 12, 48, 1, 48, 0.99, 256, 65_536
+PAIRS = 1 << 18  # compared at once
 NEAR_BITS = 46  # of 128: farther sketches are not reranked
 SAME_WORDS, SAME_CODES = 0.75, 0.6
 _WORD = re.compile(r"[a-z0-9]+|[぀-ヿ一-鿿]{2}")
@@ -144,9 +143,9 @@ def sketches(flat: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.nda
     return np.packbits(2 * ones.astype(np.int64) > total, axis=1).view(np.uint64)
 
 
-TEXT = "id long, src int, bag long, k1 long, k2 long, k3 long, s0 long, s1 long, codes int, words binary"
+TEXT = "id long, src int, bag long, k1 long, s0 long, s1 long, codes int, words binary"
 FILED = f"{TEXT}, routes array<long>, twin long"
-NODE = f"shard long, node int, sub int, route long, {TEXT}, o0 int, o1 int, o2 int, o3 int, o4 int, o5 int, hits array<long>"
+NODE = f"shard long, node int, sub int, pos int, route long, way long, {TEXT}, o0 int, hits array<long>"
 _LONG, _INT = pa.int64(), pa.int32()
 _KINDS = {"long": _LONG, "int": _INT, "binary": pa.binary(), "array<long>": pa.list_(_LONG)}
 CODE = 1 << 40
@@ -223,16 +222,14 @@ def filed(rows: DataFrame) -> DataFrame:
             bags = ((np.bitwise_xor.reduceat(_mix(own, 5), starts) ^ size.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
             first = np.fromiter((seen.setdefault(b, i) for b, i in zip(bags.tolist(), ids, strict=True)), np.int64, len(ids))
             new = first == np.array(ids)
-            low = [np.minimum.reduceat(_mix(own, seed), starts) for seed in (21, 22, 23, 24)]
+            low = [np.minimum.reduceat(_mix(own, seed), starts) for seed in (21, 22)]
             route = _mix(own, 11)
-            second = np.where(size > 1, route[np.minimum(starts + 1, len(route) - 1)], route[starts])
-            keys = [_halves(route[starts], second), _halves(low[0], low[1]), _halves(low[2], low[3])]
             sketch = sketches(own, np.where(code, 3, 1).astype(np.int8), starts).view(np.int64)
             taken = np.where(codes > 0, prefix(codes, SAME_CODES), prefix(size, SAME_WORDS)) * new
             place = np.arange(len(flat)) - np.repeat(starts, size)
             kept = np.repeat(new, size)
             return pa.record_batch([
-                pa.array(ids, _LONG), pa.array(np.array(src, np.uint32).view(np.int32)), pa.array(bags), *(pa.array(k.view(np.int64)) for k in keys), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]),
+                pa.array(ids, _LONG), pa.array(np.array(src, np.uint32).view(np.int32)), pa.array(bags), pa.array(_halves(low[0], low[1]).view(np.int64)), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]),
                 pa.array(codes.astype(np.int32)), _blobs(words[kept], size * new), _lists(route.view(np.int64)[place < np.repeat(taken, size)], taken, _LONG), pa.array(first, _LONG, mask=new),
             ], schema=schema)
 
@@ -357,18 +354,17 @@ class Texts:
 
     def __init__(self, table: pa.Table):
         get = lambda c: table.column(c).combine_chunks().to_numpy(zero_copy_only=False)
-        self.id, self.src, self.bag, self.codes, self.route, self.sub = get("id"), get("src"), get("bag"), get("codes").astype(np.int64), get("route"), get("sub")
-        self.keep = [get(c) for c in ("k1", "k2", "k3", "s0", "s1")]
-        k = [c.view(np.uint64) for c in self.keep]
-        self.keys = [_halves(self.route.view(np.uint64), k[1]), *k]
+        self.id, self.src, self.bag, self.codes = get("id"), get("src"), get("bag"), get("codes").astype(np.int64)
+        self.s0, self.s1 = get("s0").view(np.uint64), get("s1").view(np.uint64)
+        self.key = _halves(get("way").view(np.uint64), get("k1").view(np.uint64))  # texts of one way stand together, near ones mostly side by side
         self.flat, self.size = _unblobbed(table.column("words"))
         self.start = np.cumsum(self.size) - self.size
 
     def __len__(self) -> int:
         return len(self.id)
 
-    def graph(self, orders: list[np.ndarray] | None = None) -> Graph:
-        return Graph(self.keys[:4], np.stack(self.keys[4:], axis=1), orders)
+    def order(self) -> np.ndarray:
+        return np.argsort(self.key, kind="stable").astype(np.int32)
 
     def tokens(self, rows: np.ndarray, codes: bool) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, how many each) of ``rows`` one after another: the codes alone, or all."""
@@ -392,6 +388,22 @@ def same_text(a: Texts, x: np.ndarray, b: Texts, y: np.ndarray) -> np.ndarray:
     return ok
 
 
+def met(a: Texts, rows: np.ndarray, b: Texts, order: np.ndarray, after: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row of ``a``, row of ``b``) of all pairs of one way whose sketches are within ``NEAR_BITS``, in blocks; ``after``: only what stands behind these places of ``order``."""
+    way, ask = b.key[order] >> np.uint64(32), a.key[rows] >> np.uint64(32)
+    first = np.searchsorted(way, ask) if after is None else after + 1
+    many = np.searchsorted(way, ask, "right") - first
+    ends, at = np.cumsum(many), 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+        n = many[at:to]
+        x = np.repeat(rows[at:to], n)
+        y = order[np.arange(len(x)) - np.repeat(np.cumsum(n) - n - first[at:to], n)]
+        near = np.bitwise_count(a.s0[x] ^ b.s0[y]) + np.bitwise_count(a.s1[x] ^ b.s1[y]) <= NEAR_BITS
+        yield x[near], y[near]
+        at = to
+
+
 class Sets:
     """What is linked already: union of numbers that are met on the way."""
 
@@ -471,41 +483,34 @@ def searcher(segments: list[str], build: bool):
                         if linked.join(int(batch.id[k]), m):
                             hits.append((k, m))
 
-        stored = [(t, [t.column(f"o{k}").combine_chunks().to_numpy().astype(np.int32) for k in range(6)]) for f in segments if (t := _load(f, shard)) is not None]
-        stored = [(Texts(t), orders) for t, orders in stored]
+        stored = [(t, t.column("o0").combine_chunks().to_numpy()) for f in segments if (t := _load(f, shard)) is not None]
+        stored = [(Texts(t), order) for t, order in stored]
         for other, _ in stored:
             twins(other.bag, other.id)
         twins(batch.bag, batch.id)  # copies from other tasks
         rows = np.flatnonzero(fresh)
-        keys = [k[rows] for k in batch.keys]
-        for other, orders in stored:
-            graph = other.graph(orders)
-            graph.tune(keys, lambda x, y, o=other: (batch.bag[rows[x]] != o.bag[y]) & same_text(batch, rows[x], o, y))
-            for x, y in graph.near(keys, NEAR_BITS):
-                verify(rows[x], other, y)
+        for other, order in stored:
+            for x, y in met(batch, rows, other, order):
+                verify(x, other, y)
         new = Texts(table.take(pa.array(rows)))
-        own = new.graph()
+        own = new.order()
         if len(rows):
-            for o in own.orders:  # neighbours are compared first, so clusters hang together and need no further check
-                verify(rows[o[:-1]], batch, rows[o[1:]])
-            own.tune(keys, lambda x, y: (new.bag[x] != new.bag[y]) & same_text(new, x, new, y))
-            for x, y in own.near(keys, NEAR_BITS):
-                # Exhaustive search brings both ways of a pair.
-                once = y < x if not own.beam else y != x
-                verify(rows[x[once]], batch, rows[y[once]])
+            verify(rows[own[:-1]], batch, rows[own[1:]])  # neighbours are compared first, so clusters hang together and need no further check
+            for x, y in met(new, own, new, own, np.arange(len(own))):
+                verify(rows[x], batch, rows[y])
         found: dict[int, list[int]] = {}
         for i, other in hits:
             found.setdefault(i, []).append(other)
         lists = [found.get(i, []) for i in range(len(batch))]
         node = np.full(len(batch), -1, np.int32)
         node[rows] = np.arange(len(rows))
-        order = np.full((6, len(batch)), -1, np.int32)
-        order[:, rows] = np.array(own.orders) if len(rows) else np.empty((6, 0), np.int32)
+        order = np.full(len(batch), -1, np.int32)
+        order[rows] = own
         keep = np.flatnonzero(fresh | (np.array([len(x) for x in lists]) > 0)) if build else np.array([i for i, x in enumerate(lists) if x], np.int64)
         bare = not build
         out = {
-            "shard": pa.array(np.full(len(batch), shard, np.int64)), "node": pa.array(np.full(len(batch), -1, np.int32) if bare else node), **{c: table.column(c) for c in ("sub", "route", *(x.split()[0] for x in TEXT.split(", ")))},
-            **{f"o{k}": pa.array(order[k]) for k in range(6)}, "hits": pa.array(lists, pa.list_(_LONG)),
+            "shard": pa.array(np.full(len(batch), shard, np.int64)), "node": pa.array(np.full(len(batch), -1, np.int32) if bare else node), **{c: table.column(c) for c in ("sub", "pos", "route", "way", *(x.split()[0] for x in TEXT.split(", ")))},
+            "o0": pa.array(order), "hits": pa.array(lists, pa.list_(_LONG)),
         }
         return pa.table([out[f.name] for f in schema], schema=schema).take(pa.array(keep))
 
@@ -516,8 +521,8 @@ def rebuilt(key: tuple, table: pa.Table) -> pa.Table:
     """The graph over the nodes of two segments in one shard."""
     table = table.sort_by([("id", "ascending"), ("sub", "ascending"), ("route", "ascending")])
     texts = Texts(table)
-    orders, n = texts.graph().orders, len(texts)
-    out = {"shard": pa.array([key[0].as_py()] * n, _LONG), "node": pa.array(np.arange(n, dtype=np.int32)), **{f"o{k}": pa.array(o) for k, o in enumerate(orders)}, "hits": pa.nulls(n, pa.list_(_LONG))}
+    n = len(texts)
+    out = {"shard": pa.array([key[0].as_py()] * n, _LONG), "node": pa.array(np.arange(n, dtype=np.int32)), "o0": pa.array(texts.order()), "hits": pa.nulls(n, pa.list_(_LONG))}
     schema = _schema(NODE)
     return pa.table([out[f.name] if f.name in out else table.column(f.name) for f in schema], schema=schema)
 
@@ -568,19 +573,21 @@ class Index:
     def _routed(self, texts: DataFrame, version: int, rows: int) -> DataFrame:
         """A row per shard that each text is filed in; texts come with ``routes``, nodes with one ``route``."""
         v = self.made["versions"][version]
-        one = texts.withColumn("route", F.explode("routes")).drop("routes") if "routes" in texts.columns else texts
-        one = one.withColumn("to", F.col("route")).withColumn("sub", F.lit(0))
+        one = texts.select("*", F.posexplode("routes").alias("pos", "route")).drop("routes") if "routes" in texts.columns else texts
+        one = one.withColumn("way", F.col("route")).withColumn("sub", F.lit(0))
         if v["hot"]:
             hot = self.spark.read.parquet(v["hot"]).withColumn("split", F.lit(True))
             # Hot routes are at most one in SPLIT texts; their list is broadcast only if its size allows.
             one = one.join(F.broadcast(hot) if small(hot) else hot, "route", "left")
-            low = F.lit(0xFFFFFFFF)
-            pieces = [F.shiftrightunsigned("k2", 32), F.col("k2").bitwiseAND(low), F.shiftrightunsigned("k3", 32), F.col("k3").bitwiseAND(low)]
-            ways = F.array(*[F.struct(F.lit(i).alias("sub"), F.xxhash64("route", F.lit(i), p).alias("to")) for i, p in enumerate(pieces)])
-            plain = F.array(F.struct(F.lit(0).alias("sub"), F.col("route").alias("to")))
-            one = one.drop("to", "sub").withColumn("way", F.explode(F.when(F.col("split"), ways).otherwise(plain))).select("*", "way.sub", "way.to").drop("way", "split")
+            # Two texts of the route have the token it is from in common, and of n words at least ceil(0.75 n): so without that token one of the first n - ceil(0.75 n) + 1.
+            n = F.floor(F.octet_length("words") / 4).cast("int")
+            spare = (n - F.ceil(n * SAME_WORDS - 1e-9) + 1).cast("int")
+            others = F.slice(F.filter(F.sequence(F.lit(0), F.least(spare, n - 1)), lambda i: i != F.col("pos")), 1, spare)
+            ways = F.transform(others, lambda i, k: F.struct(k.alias("sub"), F.xxhash64("route", F.substring("words", 4 * i + 1, F.lit(4))).alias("way")))
+            plain = F.array(F.struct(F.lit(0).alias("sub"), F.col("route").alias("way")))
+            one = one.drop("way", "sub").withColumn("w", F.explode(F.when(F.col("split") & (n > 1), ways).otherwise(plain))).select("*", "w.sub", "w.way").drop("w", "split")
         tasks = max(width(self.spark), math.ceil(rows * 2.2 / SHARD))
-        return one.withColumn("shard", F.pmod("to", F.lit(v["shards"]))).drop("to").repartition(tasks, "shard")
+        return one.withColumn("shard", F.pmod("way", F.lit(v["shards"]))).repartition(tasks, "shard")
 
     def accept(self, rows: DataFrame) -> None:
         """Takes a batch in: ``rows`` as ``with_ids`` gives them. Earlier batches' rows are not read; of the index, the keys and the shards that the batch leads to."""
@@ -622,7 +629,7 @@ class Index:
     def _compact(self, version: int) -> list[str]:
         """Merges the two smallest segments into one of the current version; returns the folders that are done with."""
         old = sorted(self.made["segments"], key=lambda s: s["nodes"])[:2]
-        one, two = (self.spark.read.schema(NODE).parquet(s["folder"]).where("node >= 0 and sub = 0").select("route", *(x.split()[0] for x in TEXT.split(", "))) for s in old)
+        one, two = (self.spark.read.schema(NODE).parquet(s["folder"]).where("node >= 0 and sub = 0").select("route", "pos", *(x.split()[0] for x in TEXT.split(", "))) for s in old)
         kept = one.unionByName(two)
         n = sum(s["nodes"] for s in old)
         name = f"{self.path}/segments/{self.made['next']}-compacted"
